@@ -9,11 +9,26 @@ shuffle and each reducer holds one row per (symbol, bar).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwatch.functions.time import interval_label
 
+# (ts, tie) packed into one DECIMAL(38,0): micros * 2^64 + (tie + 2^63).
+# Order-preserving for any timestamp in years 0001-9999 and any signed long.
+_TIE_SHIFT = 2 ** 63
+_TS_SCALE = 2 ** 64
+
+
+def tick_order_key(ts: Column, tie: Column) -> Column:
+    micros = F.unix_micros(ts.cast("timestamp")).cast("decimal(38,0)")
+    scale = F.lit(Decimal(_TS_SCALE)).cast("decimal(38,0)")
+    shift = F.lit(Decimal(_TIE_SHIFT)).cast("decimal(38,0)")
+    return micros * scale + (tie.cast("decimal(38,0)") + shift)
+
+
 BAR_COLUMNS = ["symbol", "interval", "bar_ts", "open", "high", "low", "close", "volume", "trades"]
 
 
@@ -23,10 +38,12 @@ def bars_from_ticks(ticks: DataFrame, interval: str = "1 hour", symbol_col: str
     """OHLCV bars per (symbol, interval start).
 
     open/close are the first/last price by (ts, tie) — ``min_by``/``max_by``
-    on a struct key, deterministic after any shuffle (unlike ``first``).
-    volume is the sum of prices, trades the tick count.
+    on one fixed-width key, deterministic after any shuffle (unlike
+    ``first``) and hash-aggregatable (a struct key would force a sort-based
+    aggregation over every tick). volume is the sum of prices, trades the
+    tick count.
     """
-    order_key = F.struct(F.col(ts_col), F.col(tie_col))
+    order_key = tick_order_key(F.col(ts_col), F.col(tie_col))
     label = label or interval_label(interval)
     return (
         ticks.select(

@@ -61,3 +61,29 @@ def zscore_cte(src: str = "feats", name: str = "zs", by: str = "symbol", thresho
     return f"""{name}_stats AS (SELECT {by}, {stats} FROM {src} GROUP BY {by}),
 {name}_z AS (SELECT t.*, {zs} FROM {src} t JOIN {name}_stats s ON t.{by} IS NOT DISTINCT FROM s.{by}),
 {name} AS (SELECT *, {flag_sql} AS {flag} FROM {name}_z)"""
+
+
+def lit(v: float) -> str:
+    return repr(float(v))
+
+
+def candles_cte(interval: str = "10 minutes", name: str = "candles") -> str:
+    """10-minute candles in the stream's shape: intrabar features and the
+    event time ``timestamp`` = close time (start + interval - 1 ms)."""
+    return f"""{bars_cte(interval, name + '_bars')},
+{name} AS (
+  SELECT CAST(bar_ts + INTERVAL '{interval}' - INTERVAL '1 millisecond' AS TIMESTAMP) AS "timestamp",
+    symbol, "interval", bar_ts, open, high, low, close, volume, trades,
+    (close - open) / NULLIF(open, 0) * 100 AS "return",
+    CASE WHEN close / NULLIF(open, 0) > 0 THEN ln(close / NULLIF(open, 0)) * 100 END AS log_return,
+    (high - low) / NULLIF(low, 0) * 100 AS price_range
+  FROM {name}_bars)"""
+
+
+def candle_detector_cte(params, src: str = "candles", name: str = "scored",
+                        features=("return", "log_return", "price_range")) -> str:
+    zs = ", ".join(f'("{f}" - {lit(params.mean(f))}) / {lit(params.std(f))} AS "{f}_zscore"' for f in features)
+    votes = " + ".join(f'CASE WHEN abs("{f}_zscore") > {lit(params.z_threshold)} THEN 1 ELSE 0 END'
+                       for f in features)
+    return f"""{name}_z AS (SELECT *, {zs} FROM {src}),
+{name} AS (SELECT *, {votes} AS candle_votes, ({votes}) >= {params.min_votes} AS is_candle_anomaly FROM {name}_z)"""

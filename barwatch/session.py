@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every barwatch job relies on. UTC keeps batch, stream and the
 # DuckDB oracle on the same clock; AQE lets the runtime pick broadcast vs
@@ -61,5 +61,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and cut its lineage.
+
+    Used where one intermediate feeds several branches of a plan (a fit and
+    its application, several detectors): without it Spark would recompute the
+    whole upstream — including the scan of the raw ticks — per branch. A
+    reliable checkpoint also survives the loss of the executors that wrote it.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
