@@ -1,3 +1,4 @@
 """Import every query module so the registry is complete."""
 
 from barwatch.plans import batch  # noqa: F401
+from barwatch.plans import reports  # noqa: F401
