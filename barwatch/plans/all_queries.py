@@ -4,3 +4,4 @@ from barwatch.plans import batch  # noqa: F401
 from barwatch.plans import reports  # noqa: F401
 from barwatch.plans import streams  # noqa: F401
 from barwatch.plans import ml  # noqa: F401
+from barwatch.plans import ingest  # noqa: F401
