@@ -94,13 +94,14 @@ def flag_by_mean_k_std(df: DataFrame, score: str, k: float = 2.0, flag: str = "a
 
 
 def kmeans_detect(features_df: DataFrame, features: list[str], k: int = 3, n_sigma: float = 2.0,
-                  seed: int = SEED):
+                  seed: int = SEED, scaled: DataFrame | None = None):
     """K2: scale, fit k-means, distance to own centroid, flag > mu + 2 sigma.
 
-    Returns (centers, scored). The fit reads the input several times, so
-    pass a materialised input."""
-    _, scaled = assemble_scale(features_df, features)
-    scaled = scaled.persist()          # k-means iterates over its input
+    Returns (centers, scored). Pass ``scaled`` (persisted output of
+    :func:`assemble_scale`) to share one standardisation between models."""
+    if scaled is None:
+        _, scaled = assemble_scale(features_df, features)
+        scaled = scaled.persist()      # k-means iterates over its input
     model = kmeans_fit(scaled, k, seed)
     centers = [list(map(float, c)) for c in model.clusterCenters()]
     x = model.transform(scaled)
@@ -186,10 +187,12 @@ def gmm_score_pinned(features_df: DataFrame, features: list[str], weights, means
     return flag_below_quantile(x, "max_probability", q, "anomaly_gmm")
 
 
-def gmm_detect(features_df: DataFrame, features: list[str], k: int = 3, q: float = 0.10, seed: int = SEED):
+def gmm_detect(features_df: DataFrame, features: list[str], k: int = 3, q: float = 0.10, seed: int = SEED,
+               scaled: DataFrame | None = None):
     """K6: scale, fit GMM, max posterior, flag below its 10th percentile."""
-    _, scaled = assemble_scale(features_df, features)
-    scaled = scaled.persist()          # EM iterates over its input
+    if scaled is None:
+        _, scaled = assemble_scale(features_df, features)
+        scaled = scaled.persist()      # EM iterates over its input
     model = gmm_fit(scaled, k, seed)
     x = model.transform(scaled).withColumn("max_probability", max_probability())
     return model, flag_below_quantile(x, "max_probability", q, "anomaly_gmm")

@@ -41,8 +41,10 @@ def features(spark: SparkSession, sf_dir: str, interval: str = "1 hour", keep: b
     return materialize(f) if keep else f
 
 
-def zscore_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.zscore_detector(features(spark, sf_dir, keep=True), fe.FEATURES, by=["symbol"])
+def zscore_flags(spark: SparkSession, sf_dir: str, feats: DataFrame | None = None) -> DataFrame:
+    """K7 over the feature table (pass ``feats`` to reuse a materialised one)."""
+    f = feats if feats is not None else features(spark, sf_dir, keep=True)
+    return scoring.zscore_detector(f, fe.FEATURES, by=["symbol"])
 
 
 def _cols_sql(cols):

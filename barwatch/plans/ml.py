@@ -207,7 +207,7 @@ CONS_OUT = ["symbol", "interval", "bar_ts", "close", "return", "anomaly_zscore",
 
 def consensus_pinned(spark, sf_dir):
     f = features(spark, sf_dir, keep=True)
-    z = zscore_flags(spark, sf_dir)
+    z = zscore_flags(spark, sf_dir, f)
     km = dt.kmeans_score_pinned(f, FEATS, PINNED_CENTERS)
     gm = gmm_pinned(spark, sf_dir, f)
     x = join_methods(z.select(*BAR_KEY, "close", "return", "anomaly_zscore"),
@@ -265,20 +265,21 @@ def top_votes(spark, sf_dir):
 # --- fitted models (rows-only at the driver; invariants in tests) -----------------
 
 def fitted_methods(spark, sf_dir):
-    """All four fitted detectors on one materialised feature table.
+    """All four fitted detectors over one materialised feature table and one
+    persisted standardisation (k-means, RF and GMM all read it).
 
     Returns dict of DataFrames keyed by method plus the RF model."""
     f = features(spark, sf_dir, keep=True)
-    z = zscore_flags(spark, sf_dir)
-    _, km = dt.kmeans_detect(f, FEATS)
-    km = materialize(km.select(*BAR_KEY, "cluster", "distance", "anomaly_kmeans"))
-    labelled = join_pseudo_labels(f, km)
-    _, scaled = dt.assemble_scale(labelled, FEATS)
-    scaled = dt.hash_split(scaled, BAR_KEY, 80).persist()   # tree induction re-reads the input
-    rf = dt.rf_fit(scaled.filter(F.col("split") == "train"))
-    rf_out = rf.transform(scaled).select(*BAR_KEY, "label", F.col("prediction").cast("int").alias("anomaly_rf"),
-                                         "split")
-    _, gm = dt.gmm_detect(f, FEATS)
+    z = zscore_flags(spark, sf_dir, f)
+    _, scaled = dt.assemble_scale(f, FEATS)
+    scaled = scaled.persist()
+    _, km = dt.kmeans_detect(f, FEATS, scaled=scaled)
+    km = km.select(*BAR_KEY, "cluster", "distance", "anomaly_kmeans").persist()
+    labelled = dt.hash_split(join_pseudo_labels(scaled, km), BAR_KEY, 80).persist()
+    rf = dt.rf_fit(labelled.filter(F.col("split") == "train"))
+    rf_out = rf.transform(labelled).select(*BAR_KEY, "label", F.col("prediction").cast("int").alias("anomaly_rf"),
+                                           "split")
+    _, gm = dt.gmm_detect(f, FEATS, scaled=scaled)
     gm = gm.select(*BAR_KEY, "cluster", "max_probability", "anomaly_gmm")
     return {"zscore": z, "kmeans": km, "rf": rf_out, "gmm": gm, "rf_model": rf}
 
