@@ -61,16 +61,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and cut its lineage.
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and
+    read it back — a written table that cuts the lineage.
 
     Used where one intermediate feeds several branches of a plan (a fit and
-    its application, several detectors): without it Spark would recompute the
-    whole upstream — including the scan of the raw ticks — per branch. A
-    reliable checkpoint also survives the loss of the executors that wrote it.
+    its application, several detectors); without it Spark recomputes the
+    whole upstream, including the scan of the raw ticks, per branch. One
+    write pass (``DataFrame.checkpoint`` on an unpersisted frame computes it
+    twice), columnar re-reads with pushdown, and it survives executor loss.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def table_path(sf_dir: str, name: str) -> str:
