@@ -37,17 +37,23 @@ def add_history_features(bars: DataFrame, keys=SERIES_KEYS, ts_col: str = "bar_t
     """
     x, w = sequence.blocked(bars, list(keys), ts_col, halo=window_rows, block_rows=block_rows)
     wn = w.rowsBetween(-(window_rows - 1), 0)
-    prev_close = F.lag("close", 1).over(w)
-    prev_volume = F.lag("volume", 1).over(w)
-    x = (x.withColumn("return", finite(pct_change(F.col("close"), prev_close)))
-          .withColumn("log_return", finite(safe_ln(safe_div(F.col("close"), prev_close)) * 100.0))
-          .withColumn("volume_change", finite(pct_change(F.col("volume"), prev_volume)))
+    # Window outputs land in plain columns first: an expression that reads
+    # a window function several times (finite() does) would otherwise make
+    # Spark evaluate that window function once per reference.
+    x = (x.withColumn("_prev_close", F.lag("close", 1).over(w))
+          .withColumn("_prev_volume", F.lag("volume", 1).over(w)))
+    x = (x.withColumn("return", finite(pct_change(F.col("close"), F.col("_prev_close"))))
+          .withColumn("log_return", finite(safe_ln(safe_div(F.col("close"), F.col("_prev_close"))) * 100.0))
+          .withColumn("volume_change", finite(pct_change(F.col("volume"), F.col("_prev_volume"))))
           .withColumn("price_range", finite(price_range(denominator=range_denominator))))
-    x = (x.withColumn("volatility_24h",
-                      F.when(F.count("return").over(wn) == window_rows, F.stddev_samp("return").over(wn)))
-          .withColumn("volume_ratio",
-                      F.when(F.count("volume").over(wn) == window_rows,
-                             finite(safe_div(F.col("volume"), F.avg("volume").over(wn))))))
+    x = (x.withColumn("_n_ret", F.count("return").over(wn))
+          .withColumn("_sd_ret", F.stddev_samp("return").over(wn))
+          .withColumn("_n_vol", F.count("volume").over(wn))
+          .withColumn("_avg_vol", F.avg("volume").over(wn)))
+    x = (x.withColumn("volatility_24h", F.when(F.col("_n_ret") == window_rows, F.col("_sd_ret")))
+          .withColumn("volume_ratio", F.when(F.col("_n_vol") == window_rows,
+                                             finite(safe_div(F.col("volume"), F.col("_avg_vol")))))
+          .drop("_prev_close", "_prev_volume", "_n_ret", "_sd_ret", "_n_vol", "_avg_vol"))
     out = sequence.unblock(x, keep_seq=keep_seq)
     return out
 
