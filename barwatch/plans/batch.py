@@ -144,8 +144,16 @@ def _holey_bars(spark, sf_dir):
     NULL prices (the gaps the fill strategies are for)."""
     b = bars(spark, sf_dir, keep=True)
     span = b.groupBy("symbol", "interval").agg(F.min("bar_ts").alias("t0"), F.max("bar_ts").alias("t1"))
-    grid = span.select("symbol", "interval",
-                       F.explode(F.sequence("t0", "t1", F.expr("INTERVAL 1 HOUR"))).alias("bar_ts"))
+    # Two-level grid (days, then 24 hours) so no single row holds a whole
+    # series' worth of timestamps.
+    days = span.select("symbol", "interval", "t0", "t1",
+                       F.explode(F.sequence(F.to_date("t0"), F.to_date("t1"))).alias("day"))
+    hours = days.select("symbol", "interval", "t0", "t1",
+                        F.explode(F.sequence(F.lit(0), F.lit(23))).alias("h"), "day")
+    grid = hours.select("symbol", "interval", "t0", "t1",
+                        (F.col("day").cast("timestamp_ntz") + F.make_interval(hours=F.col("h"))).alias("bar_ts")) \
+                .filter((F.col("bar_ts") >= F.col("t0")) & (F.col("bar_ts") <= F.col("t1"))) \
+                .select("symbol", "interval", "bar_ts")
     return keyed_join(grid, b.select(*KEY, "close", "volume"), KEY, "left")
 
 
