@@ -41,11 +41,12 @@ def assemble_scale(df: DataFrame, features: list[str], out: str = "features"):
 def scale_columns(df: DataFrame, features: list[str], out: str = "z") -> DataFrame:
     """Native standardisation: ``out`` = array of (x - mean) / std with the
     whole-table mean and sample std as scalar subqueries."""
-    stats = df.agg(*[F.avg(f).alias(f"m_{f}") for f in features],
-                   *[F.stddev_samp(f).alias(f"s_{f}") for f in features])
-    zs = [F.try_divide(F.col(f) - stats.select(f"m_{f}").scalar(), stats.select(f"s_{f}").scalar())
-          for f in features]
-    return df.withColumn(out, F.array(*zs))
+    # One scalar subquery returning a struct of every statistic: a single
+    # aggregation pass, reused by each field reference.
+    stats = df.agg(F.struct(*[F.avg(f).alias(f"m_{f}") for f in features],
+                            *[F.stddev_samp(f).alias(f"s_{f}") for f in features]).alias("s")).scalar()
+    zs = [F.try_divide(F.col(f) - F.col(f"_st.m_{f}"), F.col(f"_st.s_{f}")) for f in features]
+    return df.withColumn("_st", stats).withColumn(out, F.array(*zs)).drop("_st")
 
 
 def vector_array(col: str) -> Column:

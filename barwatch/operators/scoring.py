@@ -66,13 +66,13 @@ def with_params_table(df: DataFrame, params_long: DataFrame, features: list[str]
     for k in keys:
         is_default = is_default & F.col(k).isNull()
     specific = params_long.filter(~is_default).groupBy(*keys).agg(*aggs)
-    default = params_long.filter(is_default).agg(*aggs)
-    x = keyed_join(df, specific, keys, "left")
+    default = params_long.filter(is_default).agg(F.struct(*aggs).alias("d")).scalar()   # one subquery
+    x = keyed_join(df, specific, keys, "left").withColumn("_dflt", default)
     for f in features:
         for s in ("mean", "std"):
             c = f"{s}_{f}"
-            x = x.withColumn(c, F.coalesce(F.col(c), default.select(c).scalar()))
-    return x
+            x = x.withColumn(c, F.coalesce(F.col(c), F.col(f"_dflt.{c}")))
+    return x.drop("_dflt")
 
 
 def candle_detector(df: DataFrame, params, features=("return", "log_return", "price_range"),

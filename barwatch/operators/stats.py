@@ -46,10 +46,11 @@ def attach(df: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame:
     by = list(by)
     if by:
         return keyed_join(df, stats, by, "left")
-    out = df
+    row = stats.select(F.struct(*stats.columns).alias("s")).scalar()   # one subquery, reused
+    out = df.withColumn("_st", row)
     for c in stats.columns:
-        out = out.withColumn(c, stats.select(c).scalar())
-    return out
+        out = out.withColumn(c, F.col(f"_st.{c}"))
+    return out.drop("_st")
 
 
 def global_scalar(df: DataFrame, expr: Column) -> Column:
