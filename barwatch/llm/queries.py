@@ -40,3 +40,10 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        keep=["doc_id"])
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query
+def op8_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram base score and deleted-interpolation score of every document."""
+    from barwatch.llm.lm import lm_scores
+    return lm_scores(read_table(spark, sf_dir, "documents"))
