@@ -47,3 +47,10 @@ def op8_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram base score and deleted-interpolation score of every document."""
     from barwatch.llm.lm import lm_scores
     return lm_scores(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents by five-word shingles."""
+    from barwatch.llm.ngram_jaccard import jaccard_components
+    return jaccard_components(read_table(spark, sf_dir, "documents"))
