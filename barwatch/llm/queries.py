@@ -54,3 +54,18 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents by five-word shingles."""
     from barwatch.llm.ngram_jaccard import jaccard_components
     return jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, winning rule and verdict of every page's url."""
+    from barwatch.llm.url_filter import url_verdicts
+    return url_verdicts(read_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def _op1_sql() -> str:
+    from barwatch.llm.url_filter import oracle_sql
+    return oracle_sql()
+
+
+SQL["op1_url_filter"] = _op1_sql()
