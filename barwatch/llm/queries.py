@@ -69,3 +69,29 @@ def _op1_sql() -> str:
 
 
 SQL["op1_url_filter"] = _op1_sql()
+
+
+@query
+def op2_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, by spans; learned from the rows that are not held out."""
+    from pyspark.sql import functions as F
+
+    from barwatch.llm.langid import held_out, identify_languages, learn_languages
+    docs = read_table(spark, sf_dir, "documents")
+    model = learn_languages(docs.filter(~held_out(F.col("doc_id"))))
+    found = identify_languages(docs, model, keep=["doc_id"])
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score",
+                        F.size("spans").alias("n_spans"))
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; labels of held-out rows are not learned from."""
+    from pyspark.sql import functions as F
+
+    from barwatch.llm.common import crc_mod
+    from barwatch.llm.toxicity import fit_toxicity, score_toxicity
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, read_table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, model, keep=["doc_id"]).select(
+        "doc_id", F.coalesce(crc_mod(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
