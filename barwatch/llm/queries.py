@@ -95,3 +95,17 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_toxicity(docs, read_table(spark, sf_dir, "labels"))
     return score_toxicity(docs, model, keep=["doc_id"]).select(
         "doc_id", F.coalesce(crc_mod(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query
+def op10_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base counts, digest of the base spans, all spans."""
+    from pyspark.sql import functions as F
+
+    from barwatch.llm.pii import KINDS, find_pii, learn_pii
+    docs = read_table(spark, sf_dir, "documents")
+    found = find_pii(docs, learn_pii(docs), keep=["doc_id"])
+    listed = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return found.select("doc_id", *[f"n_{k}" for k in KINDS], F.sha2(listed("base_spans"), 256).alias("base_sha256"),
+                        listed("pii_spans").alias("spans"))

@@ -38,10 +38,11 @@ from barwatch.session import materialize
 BITS = 20
 ORDERS = (3, 4, 5)
 SAMPLE = 4000                    # labelled rows of each label that the fit reads at most
-FEATURES = 40_000                # features kept at most, by the size of their ratio's evidence
+FEATURES = 1500                  # features kept at most, by the size of their ratio's evidence
 LEAST_DOCUMENTS = 4              # a feature must occur in as many sampled documents
-LEAST_RATIO = 1.0
-ROUNDS, RIDGE, STEP = 400, 1e-4, 0.05
+LEAST_RATIO = 1.5
+ROUNDS, RIDGE, STEP = 400, 1e-3, 0.05
+BALANCE = 0.5                    # 0: rows weigh alike; 1: both labels weigh alike
 THRESHOLD = 0.3
 PIECE_CHARS = 1_000_000
 
@@ -144,11 +145,13 @@ def _logistic(owner: np.ndarray, feature: np.ndarray, scale: np.ndarray, y: np.n
     """Ridge logistic regression over rows of scaled 0/1 features, by Adam on the full sample."""
     n = len(y)
     value = scale[feature]
+    row = np.where(y == 1, 1 + BALANCE * ((1 - y).sum() / y.sum() - 1), 1.0)
+    row /= row.mean()
     w, b = np.zeros(len(scale)), float(np.log(y.mean() / (1 - y.mean())))
     m, v = np.zeros(len(scale) + 1), np.zeros(len(scale) + 1)
     for t in range(1, ROUNDS + 1):
         z = np.bincount(owner, w[feature] * value, minlength=n) + b
-        error = 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40))) - y
+        error = row * (1.0 / (1.0 + np.exp(-np.clip(z, -40, 40))) - y)
         g = np.append(np.bincount(feature, error[owner] * value, minlength=len(scale)) / n + RIDGE * w, error.mean())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = STEP * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
