@@ -109,3 +109,10 @@ def op10_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     return found.select("doc_id", *[f"n_{k}" for k in KINDS], F.sha2(listed("base_spans"), 256).alias("base_sha256"),
                         listed("pii_spans").alias("spans"))
+
+
+@query
+def op3_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    from barwatch.llm.ann import nearest_neighbours
+    return nearest_neighbours(read_table(spark, sf_dir, "embeddings"))
