@@ -116,3 +116,10 @@ def op3_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every vector whose id is divisible by 20."""
     from barwatch.llm.ann import nearest_neighbours
     return nearest_neighbours(read_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in packs of 2048 words; no pack holds a source or a text twice."""
+    from barwatch.llm.packing import pack_documents
+    return pack_documents(read_table(spark, sf_dir, "documents"))
