@@ -14,9 +14,14 @@ def interval_label(interval: str) -> str:
     return f"{n}{unit[0] if unit.startswith(('h', 'd', 's')) else 'm'}"
 
 
+# Epoch milliseconds of the years 1 to 9999.
+FIRST_MS, LAST_MS = -62_135_596_800_000, 253_402_300_799_999
+
+
 def ms_to_ts(c) -> Column:
-    """Epoch milliseconds (long) -> TIMESTAMP."""
-    return F.timestamp_millis(col_(c).cast("long"))
+    """Epoch milliseconds (long) -> TIMESTAMP; NULL outside the years 1 to 9999."""
+    ms = col_(c).cast("long")
+    return F.when(ms.between(FIRST_MS, LAST_MS), F.timestamp_millis(ms))
 
 
 def ms_to_ts_ntz(c) -> Column:

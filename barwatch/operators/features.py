@@ -14,6 +14,7 @@ from barwatch.functions.features import price_range
 from barwatch.functions.numeric import finite, pct_change, safe_div, safe_ln
 from barwatch.operators import sequence
 from barwatch.operators.joins import keyed_join
+from barwatch.session import materialize
 
 # The six batch features, in the reference's order.
 FEATURES = ["return", "log_return", "volatility_24h", "volume_change", "volume_ratio", "price_range"]
@@ -109,7 +110,7 @@ def fill_mean(df: DataFrame, cols: list[str], keys=("symbol",)) -> DataFrame:
     whole-series window)."""
     keys = list(keys)
     means = df.groupBy(*keys).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols])
-    x = keyed_join(df, means, keys, "left")
+    x = keyed_join(df, materialize(means, "means"), keys, "left")
     for c in cols:
         x = x.withColumn(c, F.coalesce(F.col(c), F.col(f"_m_{c}")))
     return x.drop(*[f"_m_{c}" for c in cols])

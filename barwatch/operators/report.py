@@ -4,7 +4,7 @@ Everything is an aggregation with partial (map-side) aggregation or a
 bounded top-k: ``orderBy().limit(k)`` plans as TakeOrderedAndProject (each
 task keeps k rows), and ``row_number() <= k`` per group plans a
 WindowGroupLimit before the shuffle, so a hot group never ships more than
-k rows per input task. Quantiles use a bounded sketch.
+k rows per input task. Quartiles are exact, from range-sorted value counts.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwatch.operators.joins import keyed_join
-from barwatch.operators.stats import QUANTILE_ACCURACY
+from barwatch.session import materialize
 
 
 def anomaly_rate(df: DataFrame, flag: str, by: list[str] = ("symbol",)) -> DataFrame:
@@ -30,26 +30,57 @@ def group_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("count")).orderBy(*cols)
 
 
-def describe(df: DataFrame, cols: list[str], by: list[str] = ("symbol",),
-             accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+def exact_quantiles(df: DataFrame, cols: list[str], by: list[str], probabilities: list[float]) -> DataFrame:
+    """(by..., column, q): exact, linearly interpolated quantiles of each column
+    per group, NULLs left out.
+
+    Values are counted (equal values meet once per task), range-sorted by
+    (group, column, value) and written, so a large group spreads over many
+    partitions. Counts per (group, column, partition) give every partition its
+    first rank; only rows on a wanted rank go on. No buffer holds a group."""
+    by = list(by)
+    parts = ", ".join(f"'{c}', `{c}`" for c in cols)
+    long = df.selectExpr(*[f"`{b}`" for b in by], f"stack({len(cols)}, {parts}) AS (`column`, value)").filter("value IS NOT NULL")
+    keys = [*by, "column"]
+    counted = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("k"))
+    ranged = materialize(counted.repartitionByRange(*keys, "value").withColumn("_p", F.spark_partition_id()), "value-counts")
+    per_part = ranged.groupBy(*keys, "_p").agg(F.sum("k").alias("_in"))
+    whole = Window.partitionBy(*keys)
+    first = per_part.withColumn("_before", F.sum("_in").over(whole.orderBy("_p")) - F.col("_in")) \
+                    .withColumn("_n", F.sum("_in").over(whole)).drop("_in")
+    x = keyed_join(ranged, materialize(first, "first-ranks"), [*keys, "_p"])
+    upto = F.sum("k").over(Window.partitionBy(*keys, "_p").orderBy("value"))
+    x = x.withColumn("_to", F.col("_before") + upto).withColumn("_from", F.col("_to") - F.col("k"))
+    places = [(F.lit(p) * (F.col("_n") - 1)) for p in probabilities]
+    holds = lambda r: (F.col("_from") <= r) & (r < F.col("_to"))
+    aggs = []
+    for i, place in enumerate(places):
+        lo = F.floor(place)
+        aggs += [F.max(F.when(holds(lo), F.col("value"))).alias(f"_lo{i}"),
+                 F.max(F.when(holds(F.ceil(place)), F.col("value"))).alias(f"_hi{i}"), F.max(place - lo).alias(f"_w{i}")]
+    out = x.groupBy(*keys).agg(*aggs)
+    return out.select(*keys, F.array(*[F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_w{i}")
+                                       for i in range(len(places))]).alias("q"))
+
+
+def describe(df: DataFrame, cols: list[str], by: list[str] = ("symbol",)) -> DataFrame:
     """count, mean, std, min, 25/50/75 %, max per column (D4), long format.
 
-    One aggregation for all columns; quartiles from a bounded sketch (exact
-    order statistics below ``accuracy`` values per group).
-    """
+    One aggregation for the moments of all columns; the quartiles are exact and
+    interpolated (:func:`exact_quantiles`)."""
     by = list(by)
+    df = materialize(df.select(*by, *cols), "describe")
     aggs = []
     for c in cols:
         aggs += [F.count(c).alias(f"{c}__count"), F.avg(c).alias(f"{c}__mean"),
-                 F.stddev_samp(c).alias(f"{c}__std"), F.min(c).alias(f"{c}__min"),
-                 F.percentile_approx(c, [0.25, 0.5, 0.75], accuracy).alias(f"{c}__q"),
-                 F.max(c).alias(f"{c}__max")]
+                 F.stddev_samp(c).alias(f"{c}__std"), F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max")]
     wide = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-    parts = ", ".join(
-        f"'{c}', CAST(`{c}__count` AS BIGINT), `{c}__mean`, `{c}__std`, `{c}__min`, "
-        f"`{c}__q`[0], `{c}__q`[1], `{c}__q`[2], `{c}__max`" for c in cols)
-    return wide.selectExpr(*[f"`{b}`" for b in by],
-                           f"stack({len(cols)}, {parts}) AS (`column`, `count`, mean, std, `min`, p25, p50, p75, `max`)")
+    parts = ", ".join(f"'{c}', CAST(`{c}__count` AS BIGINT), `{c}__mean`, `{c}__std`, `{c}__min`, `{c}__max`" for c in cols)
+    moments = wide.selectExpr(*[f"`{b}`" for b in by],
+                              f"stack({len(cols)}, {parts}) AS (`column`, `count`, mean, std, `min`, `max`)")
+    x = keyed_join(moments, exact_quantiles(df, cols, by, [0.25, 0.5, 0.75]), [*by, "column"], "left")
+    return x.select(*by, "column", "count", "mean", "std", "min", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"),
+                    F.col("q")[2].alias("p75"), "max")
 
 
 def range_summary(bars: DataFrame, by: list[str] = ("symbol",), ts: str = "bar_ts") -> DataFrame:
@@ -84,7 +115,7 @@ def histogram(df: DataFrame, col: str, bins: int = 50, by: list[str] = ("symbol"
     """Equal-width bins over [min, max] per group, last edge inclusive."""
     by = list(by)
     rng = df.groupBy(*by).agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
-    x = keyed_join(df.filter(F.col(col).isNotNull()), rng, by)
+    x = keyed_join(df.filter(F.col(col).isNotNull()), materialize(rng, "ranges"), by)
     width = F.col("_hi") - F.col("_lo")
     b = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col(col) - F.col("_lo")) / width * bins), F.lit(bins - 1))).cast("int")

@@ -58,7 +58,7 @@ def with_sequence(df: DataFrame, keys: list[str], order_col: str,
     offsets = counts.select(*[F.col(k).alias(f"_o_{k}") for k in keys], F.col("_chunk").alias("_o_chunk"),
                             F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"))
     cond = functools.reduce(operator.and_, [x[k].eqNullSafe(offsets[f"_o_{k}"]) for k in keys]
-                            + [x["_chunk"] == offsets["_o_chunk"]])
+                            + [x["_chunk"].eqNullSafe(offsets["_o_chunk"])])
     x = x.join(offsets, cond, "inner").drop(*[f"_o_{k}" for k in keys], "_o_chunk")
     return x.withColumn("_seq", (F.col("_off") + F.col("_lrn") - 1).cast("long")).drop("_lrn", "_off")
 

@@ -11,10 +11,11 @@ whole-table window, never a value pulled through a driver loop.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barwatch.operators.joins import keyed_join
+from barwatch.session import materialize
 
 # Bounded-memory quantile sketch size: relative rank error 1/accuracy. The
 # sketch returns an exact order statistic whenever the column has fewer
@@ -40,12 +41,21 @@ def stats_long(wide: DataFrame, features: list[str], by: list[str] = ("symbol",)
                            f"stack({len(features)}, {parts}) AS (feature, mean, std)")
 
 
+def small(stats: DataFrame) -> DataFrame:
+    """Statistics (one row per series) as a written table. Spark sizes an
+    aggregate by its input, so a join with the plain aggregate shuffles the big
+    side onto a handful of keys; the size of a written table is known when the
+    join is planned, and below the broadcast threshold (only there) the big side
+    stays where it is."""
+    return materialize(stats, "stats")
+
+
 def attach(df: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame:
     """Bring statistics to every row: equi-join on ``by``, or scalar
     subqueries when the statistics are global (``by`` empty)."""
     by = list(by)
     if by:
-        return keyed_join(df, stats, by, "left")
+        return keyed_join(df, small(stats), by, "left")
     row = stats.select(F.struct(*stats.columns).alias("s")).scalar()   # one subquery, reused
     out = df.withColumn("_st", row)
     for c in stats.columns:
@@ -53,11 +63,6 @@ def attach(df: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame:
     return out.drop("_st")
 
 
-def global_scalar(df: DataFrame, expr: Column) -> Column:
-    """A whole-table aggregate as a Column (scalar subquery, evaluated once)."""
-    return df.select(expr).scalar()
-
-
 def threshold_mean_k_std(df: DataFrame, score: str, k: float = 2.0, by: list[str] = ()) -> DataFrame:
     """μ + k·σ of ``score`` (per group, or one row) with μ and σ."""
     by = list(by)

@@ -15,9 +15,9 @@ from barwatch.operators import sequence
 from barwatch.operators import stats as st
 from barwatch.operators.detectors import nearest_center
 from barwatch.plans import sql as q
-from barwatch.plans.batch import KEY, OHLCV, bars, features, zscore_flags
+from barwatch.plans.batch import OHLCV, _CANDLE_SQL_OUT, bars, features, zscore_flags
 from barwatch.plans.catalog import r9, register, rounded
-from barwatch.plans.streams import _stream_candles, candle_rows, land_messages
+from barwatch.plans.streams import P, _stream_candles, candle_rows, land_messages
 from barwatch.session import scratch_path
 from barwatch.sources import files as fs
 from barwatch.sources import kline as kl
@@ -184,7 +184,8 @@ def save_model_params(spark, sf_dir):
 REALTIME_CENTERS = [[0.0, 0.0, 0.0], [2.0, 2.0, 2.0], [-2.0, -2.0, 2.0]]
 
 
-@register("latest_files_scan")
+@register("latest_files_scan", sql=f"""WITH {q.candles_cte()}, {q.candle_detector_cte(P)}
+SELECT {_CANDLE_SQL_OUT} FROM (SELECT * FROM scored ORDER BY "timestamp" DESC, symbol LIMIT 200)""")
 def latest_files_scan(spark, sf_dir):
     """Newest part files of a streaming CSV sink, bad lines and bad
     timestamps dropped, last 200 rows by time."""
@@ -197,7 +198,7 @@ def latest_files_scan(spark, sf_dir):
     out = _score_candles(_stream_candles(spark, src))
     schema = fs.StructType([fs.StructField(f.name, f.dataType if f.name != "timestamp" else fs.TimestampNTZType())
                             for f in out.schema.fields])
-    return fs.latest_output(spark, sink, schema, n_files=50, n_rows=200)
+    return rounded(fs.latest_output(spark, sink, schema, n_files=50, n_rows=200))
 
 
 @register("score_stream_with_model")

@@ -50,8 +50,8 @@ def group_counts(spark, sf_dir):
 
 _DESC_SQL = " UNION ALL ".join(
     f"""SELECT symbol, '{f}' AS "column", count("{f}") AS "count", {r9(f'avg("{f}")', 'mean')},
-  {r9(f'stddev_samp("{f}")', 'std')}, {r9(f'min("{f}")', 'min')}, {r9(f'quantile_disc("{f}", 0.25)', 'p25')},
-  {r9(f'quantile_disc("{f}", 0.5)', 'p50')}, {r9(f'quantile_disc("{f}", 0.75)', 'p75')}, {r9(f'max("{f}")', 'max')}
+  {r9(f'stddev_samp("{f}")', 'std')}, {r9(f'min("{f}")', 'min')}, {r9(f'quantile_cont("{f}", 0.25)', 'p25')},
+  {r9(f'quantile_cont("{f}", 0.5)', 'p50')}, {r9(f'quantile_cont("{f}", 0.75)', 'p75')}, {r9(f'max("{f}")', 'max')}
 FROM feats GROUP BY symbol""" for f in fe.FEATURES)
 
 
@@ -97,7 +97,7 @@ def threshold_mean_k_std(spark, sf_dir):
 
 
 @register("threshold_quantile", sql=f"""{q.with_features()},
-s AS (SELECT symbol, quantile_disc(volume_ratio, 0.1) AS threshold FROM feats GROUP BY symbol)
+s AS (SELECT symbol, quantile_cont(volume_ratio, 0.1) AS threshold FROM feats GROUP BY symbol)
 SELECT s.symbol, {r9('threshold')}, count(*) FILTER (WHERE f.volume_ratio < threshold) AS n_below
 FROM s JOIN feats f ON f.symbol = s.symbol GROUP BY s.symbol, threshold""")
 def threshold_quantile(spark, sf_dir):

@@ -20,7 +20,7 @@ from barwatch.operators import scoring
 from barwatch.plans import sql as q
 from barwatch.plans.batch import CANDLE_FEATURES, CANDLE_OUT, _CANDLE_SQL_OUT, _interval_ms, candles
 from barwatch.plans.catalog import r9, register, rounded
-from barwatch.session import scratch_path
+from barwatch.session import materialize, scratch_path
 from barwatch.sources import params as pm
 from barwatch.sources.kline import candle_messages
 from barwatch.streaming import runner
@@ -192,6 +192,23 @@ def land_messages(msgs: DataFrame, path: str) -> None:
     msgs.select("value").write.mode("append").text(path)
 
 
+def time_cuts(rows: DataFrame, parts: int) -> list[int]:
+    """Inner bounds of ``parts`` equal time ranges, from the data's first and last close time."""
+    lo, hi = rows.agg(F.min("close_time"), F.max("close_time")).first()
+    return [] if lo is None else [lo + (hi - lo) * i // parts for i in range(1, parts)]
+
+
+def land_in_turn(rows: DataFrame, path: str, parts: int, run) -> None:
+    """Land the candles in ``parts`` time slices, calling ``run()`` after each:
+    every run is a micro-batch of its own over the checkpoint, so state, updates
+    and the watermark move across batches."""
+    bounds = [None, *time_cuts(rows, parts), None]
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        part = rows if lo is None else rows.filter(F.col("close_time") >= lo)
+        land_messages(candle_messages(part if hi is None else part.filter(F.col("close_time") < hi)), path)
+        run()
+
+
 def _stream_candles(spark, src: str) -> DataFrame:
     return runner.decoded_stream(spark, src)
 
@@ -230,29 +247,29 @@ def watermark_append(spark, sf_dir):
 @register("window_update_mode", sql=f"""{_WSTATS_SQL}
 SELECT {_STATS_SEL} FROM wstats""")
 def window_update_mode(spark, sf_dir):
-    """The same stream in update mode; landing every update with its batch
-    id and keeping the newest per window gives the full, unclosed result."""
+    """The same stream in update mode over three batches; landing every
+    update with its batch id and keeping the newest per window gives the full,
+    unclosed result."""
     src, sink, ckpt = (scratch_path(spark, n) for n in ("i3-src", "i3-sink", "i3-ckpt"))
-    land_messages(candle_message_rows(spark, sf_dir), src)
-    qy = runner.start_update_merge(_stats_out(_window_stream(_stream_candles(spark, src))), sink, ckpt)
-    runner.run_until_done(qy)
+    land_in_turn(materialize(candle_rows(spark, sf_dir), "candles"), src, 3, lambda: runner.run_until_done(
+        runner.start_update_merge(_stats_out(_window_stream(_stream_candles(spark, src))), sink, ckpt)))
     return rounded(runner.latest_per_key(spark.read.parquet(sink), ["window_start", "symbol"]))
 
 
 @register("late_rows_dropped", sql=f"""{_WSTATS_SQL}
 SELECT {_STATS_SEL} FROM wstats WHERE window_end <= (SELECT max("timestamp") FROM candles) - INTERVAL 10 minutes""")
 def late_rows_dropped(spark, sf_dir):
-    """I4: after all candles, re-send the first day's candles with doubled
-    prices; they are behind the watermark, so no emitted window changes."""
+    """I4: after all candles, re-send the first tenth of the time span with
+    doubled prices; it is behind the watermark, so no emitted window changes."""
     src, sink, ckpt = (scratch_path(spark, n) for n in ("i4-src", "i4-sink", "i4-ckpt"))
-    rows = candle_rows(spark, sf_dir)
+    rows = materialize(candle_rows(spark, sf_dir), "candles")
     land_messages(candle_messages(rows), src)
     stream = lambda: _stats_out(_window_stream(_stream_candles(spark, src)))
     runner.run_until_done(runner.start_file_sink(stream(), sink, ckpt))
-    first_day = rows.filter(F.col("close_time") < F.lit(1704153600000))  # before 2024-01-02 00:00 UTC
+    first = rows.filter(F.col("close_time") < F.lit(time_cuts(rows, 10)[0]))
     for c in ("open", "high", "low", "close"):
-        first_day = first_day.withColumn(c, F.col(c) * 2)
-    late = candle_messages(first_day)
+        first = first.withColumn(c, F.col(c) * 2)
+    late = candle_messages(first)
     land_messages(late, src)
     runner.run_until_done(runner.start_file_sink(stream(), sink, ckpt))
     return rounded(spark.read.parquet(sink))
@@ -279,11 +296,15 @@ def window_stream_detector(spark, sf_dir):
     return rounded(spark.read.parquet(sink))
 
 
-@register("dual_stream_run", sql=f"""WITH {q.candles_cte()}, {q.candle_detector_cte(P)}
-SELECT {_CANDLE_SQL_OUT} FROM scored""")
+@register("dual_stream_run", sql=f"""{_WSTATS_SQL},
+{q.candle_detector_cte(P)}
+SELECT 'candle' AS sink, symbol, "timestamp" AS ts, CAST(candle_votes AS INTEGER) AS votes, is_candle_anomaly AS is_anomaly
+FROM scored UNION ALL
+SELECT 'window', symbol, window_end, CAST(total_votes AS INTEGER), is_anomaly FROM closed""")
 def dual_stream_run(spark, sf_dir):
-    """Candle and window queries from one source, separate checkpoints and
-    triggers, run together; returns the candle sink."""
+    """Candle and window queries from one source, each with its checkpoint,
+    run together until both end (the first failure stops both); the rows of
+    both sinks."""
     src = scratch_path(spark, "i7-src")
     land_messages(candle_message_rows(spark, sf_dir), src)
     c_sink, c_ckpt, w_sink, w_ckpt = (scratch_path(spark, n) for n in ("i7-c", "i7-cc", "i7-w", "i7-wc"))
@@ -291,7 +312,11 @@ def dual_stream_run(spark, sf_dir):
     det = wn.window_output(wn.window_detector(_window_stream(_stream_candles(spark, src)), P))
     qw = runner.start_file_sink(det, w_sink, w_ckpt, fmt="csv")
     runner.run_until_done(qc, qw)
-    return rounded(spark.read.parquet(c_sink))
+    c = spark.read.parquet(c_sink)
+    w = spark.read.schema(det.schema).option("header", True).csv(w_sink)
+    return c.select(F.lit("candle").alias("sink"), "symbol", F.col("timestamp").alias("ts"),
+                    F.col("candle_votes").cast("int").alias("votes"), F.col("is_candle_anomaly").alias("is_anomaly")).union(
+        w.select(F.lit("window"), "symbol", "window_end", F.col("total_votes").cast("int"), "is_anomaly"))
 
 
 @register("checkpoint_resume", sql=f"""WITH {q.candles_cte()}, {q.candle_detector_cte(P)}
@@ -300,8 +325,8 @@ def checkpoint_resume(spark, sf_dir):
     """I8: run on the first half of the messages, stop, land the rest, restart
     on the same checkpoint — every candle exactly once in the sink."""
     src, sink, ckpt = (scratch_path(spark, n) for n in ("i8-src", "i8-sink", "i8-ckpt"))
-    rows = candle_rows(spark, sf_dir)
-    cut = F.lit(1705320000000)  # 2024-01-15 12:00 UTC
+    rows = materialize(candle_rows(spark, sf_dir), "candles")
+    cut = F.lit(time_cuts(rows, 2)[0])
     land_messages(candle_messages(rows.filter(F.col("close_time") < cut)), src)
     _run_candle_sink(spark, src, sink, ckpt)
     _run_candle_sink(spark, src, sink, ckpt)          # idle restart: adds nothing

@@ -39,15 +39,19 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints, stream state and materialised tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; we only invent one when
-    the session has none (local tests), and then register it so later calls
-    and ``DataFrame.checkpoint()`` agree.
+    The cluster names it in ``spark.checkpoint.dir``. Without that setting a
+    local session gets a temporary folder, registered so later calls and
+    ``DataFrame.checkpoint()`` agree; any other master is an error, since
+    executors would write to disks of their own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = jdir.get() if jdir.isDefined() else None
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors share (master {master})")
         root = tempfile.mkdtemp(prefix="barwatch-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():

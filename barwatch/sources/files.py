@@ -59,31 +59,34 @@ def write_results(df: DataFrame, path: str, fmt: str = "parquet", partition_by=(
     w.format(fmt).save(path)
 
 
+def newest_files(spark: SparkSession, path: str, n_files: int, pattern: str = "part-*.csv") -> list[str]:
+    """Paths of the newest non-empty files of a directory, by modification time
+    then name. The listing reads no file content. A directory that does not
+    exist is an error (``PATH_NOT_FOUND``), whatever its file system."""
+    rows = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+            .select("path", "modificationTime", "length").filter("length > 0")
+            .orderBy(F.col("modificationTime").desc(), F.col("path").desc()).limit(n_files).collect())   # <= n_files rows
+    return [r["path"] for r in rows]
+
+
 def latest_output(spark: SparkSession, path: str, schema: StructType, n_files: int = 50, n_rows: int = 200,
-                  ts_col: str = "timestamp") -> DataFrame:
+                  ts_col: str = "timestamp", ties: list[str] = ("symbol",)) -> DataFrame:
     """Rows of the newest ``n_files`` CSV part files, bad lines dropped,
-    the last ``n_rows`` by time in ascending order.
+    the last ``n_rows`` by time (ties by ``ties``) in ascending order.
 
-    Files are ranked by ``_metadata.file_modification_time`` over the (small)
-    distinct file list; rows are read PERMISSIVE with a corrupt-record column
-    so a line with extra fields is dropped while short lines keep NULLs;
-    unparseable timestamps are dropped. A missing directory gives no rows.
+    Files are ranked by a listing, so files that hold only a header count; only
+    the chosen files are read. Rows are read PERMISSIVE with a corrupt-record
+    column so a line with extra fields is dropped while short lines keep NULLs;
+    rows whose time does not parse are dropped. An existing directory without
+    files gives no rows; a missing one raises.
     """
-    import os
-    from urllib.parse import urlparse
-    local = urlparse(path).path if path.startswith("file:") else path
-    if "://" not in path and not os.path.exists(local):
+    files = newest_files(spark, path, n_files)
+    if not files:
         return spark.createDataFrame([], schema)
     text_schema = StructType([StructField(f.name, StringType()) for f in schema.fields]
                              + [StructField("_corrupt", StringType())])
-    raw = (spark.read.schema(text_schema).option("header", True).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt").option("pathGlobFilter", "part-*.csv")
-           .csv(path)
-           .select("*", F.col("_metadata.file_path").alias("_file"),
-                   F.col("_metadata.file_modification_time").alias("_mtime")))
-    files = raw.select("_file", "_mtime").distinct()
-    newest = files.orderBy(F.col("_mtime").desc(), F.col("_file").desc()).limit(n_files)
-    rows = raw.join(F.broadcast(newest.select("_file")), "_file", "left_semi")
+    rows = (spark.read.schema(text_schema).option("header", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_corrupt").csv(files))
     n_fields = len(schema.fields)
     too_long = F.col("_corrupt").isNotNull() & (F.size(F.split(F.col("_corrupt"), ",")) > n_fields)
     rows = rows.filter(~too_long)
@@ -95,5 +98,5 @@ def latest_output(spark: SparkSession, path: str, schema: StructType, n_files: i
         else:
             typed.append(F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})").alias(f.name))
     rows = rows.select(*typed).filter(F.col(ts_col).isNotNull())
-    last = rows.orderBy(F.col(ts_col).desc()).limit(n_rows)
-    return last.orderBy(ts_col)
+    last = rows.orderBy(F.col(ts_col).desc(), *ties).limit(n_rows)
+    return last.orderBy(ts_col, *ties)

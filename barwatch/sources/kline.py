@@ -65,7 +65,7 @@ def decode_candles(df: DataFrame, value_col: str = "value", keep_invalid: bool =
     """A5: JSON candle message -> 16 typed columns + ``timestamp`` (close time).
 
     Malformed JSON yields a row of NULLs (PERMISSIVE); ``_valid`` marks rows
-    with a symbol and a close time, and invalid rows are dropped unless
+    with a symbol and a close time in the calendar's range, and invalid rows are dropped unless
     ``keep_invalid`` (the dead-letter branch reads them).
     """
     parsed = df.select(F.from_json(_as_text(F.col(value_col)), CANDLE_SCHEMA).alias("m"),
@@ -74,7 +74,7 @@ def decode_candles(df: DataFrame, value_col: str = "value", keep_invalid: bool =
     for c in PRICE_FIELDS:
         out = out.withColumn(c, finite(c))
     out = out.withColumn("timestamp", ms_to_ts(F.col("close_time"))) \
-             .withColumn("_valid", F.col("symbol").isNotNull() & F.col("close_time").isNotNull())
+             .withColumn("_valid", F.col("symbol").isNotNull() & F.col("timestamp").isNotNull())
     if keep_invalid:
         return out
     return out.filter("_valid").drop("_valid", "_raw")
@@ -101,19 +101,27 @@ def normalize_klines(df: DataFrame, value_col: str = "value", received_at: Colum
                                                                      "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     return x.select(
         "symbol", "interval", "open_time", "close_time", ms_to_iso(F.col("open_time")).alias("datetime"),
-        *PRICE_FIELDS, "quote_volume", "taker_buy_volume", "taker_buy_quote_volume", "trades",
+        *[finite(c).alias(c) for c in [*PRICE_FIELDS, "quote_volume", "taker_buy_volume", "taker_buy_quote_volume"]],
+        "trades",
         F.lit(True).alias("is_closed"), recv.alias("received_at"))
 
 
-def klines_from_pages(df: DataFrame, page_col: str = "page", symbol_col: str = "symbol") -> DataFrame:
+def klines_from_pages(df: DataFrame, page_col: str = "page", symbol_col: str = "symbol",
+                      keep_invalid: bool = False) -> DataFrame:
     """Landed REST pages (JSON ``array<array<string>>``) -> OHLCV rows.
 
-    One page holds at most 1,000 klines, so the ``explode`` stays per row.
+    One page holds at most 1,000 klines, so the ``explode`` stays per row. A
+    field that is absent, no number, NaN or infinite is NULL; rows without a
+    time or a close are dropped, or with ``keep_invalid`` marked ``_valid =
+    false`` beside their ``_raw`` text (the dead-letter branch reads them).
     """
     arr = F.from_json(_as_text(F.col(page_col)), "array<array<string>>")
     x = df.select(F.col(symbol_col).alias("symbol"), F.explode(arr).alias("k"))
-    return x.select("symbol", *[F.col("k")[i].cast(t).alias(n) for n, i, t in PAGE_FIELDS]) \
-            .withColumn("timestamp", ms_to_ts(F.col("open_time")).cast("timestamp_ntz"))
+    field = lambda i, t: finite(F.get("k", i).try_cast(t)) if t == "double" else F.get("k", i).try_cast(t)
+    x = x.select("symbol", *[field(F.lit(i), t).alias(n) for n, i, t in PAGE_FIELDS], F.to_json("k").alias("_raw")) \
+         .withColumn("timestamp", ms_to_ts(F.col("open_time")).cast("timestamp_ntz")) \
+         .withColumn("_valid", F.col("timestamp").isNotNull() & F.col("close").isNotNull())
+    return x if keep_invalid else x.filter("_valid").drop("_valid", "_raw")
 
 
 def candle_messages(df: DataFrame, received_at: Column | None = None) -> DataFrame:

@@ -10,8 +10,10 @@ from __future__ import annotations
 import copy
 import json
 import os
+import warnings
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -28,33 +30,6 @@ FALLBACK_VOLUME_SPIKE_PCT = 200.0
 FALLBACK_RANGE_THRESHOLD_PCT = 1.5
 FALLBACK_MIN_VOTES = 2
 
-# The full published parameter set (features, z statistics,
-# k-means threshold, GMM percentile, consensus).
-PUBLISHED = {
-    "features": ["return", "log_return", "volatility_24h", "volume_change", "volume_ratio", "price_range"],
-    "zscore": {
-        "threshold": 3.0,
-        "statistics": {
-            "return": {"mean": 0.0034, "std": 0.3741},
-            "log_return": {"mean": 0.0027, "std": 0.3744},
-            "volatility_24h": {"mean": 0.3424, "std": 0.1689},
-            "volume_change": {"mean": 20.9250, "std": 93.3035},
-            "volume_ratio": {"mean": 1.0466, "std": 0.9030},
-            "price_range": {"mean": 0.4972, "std": 0.3956},
-        },
-    },
-    "kmeans": {"n_clusters": 3, "distance_threshold": 3.6642, "distance_stats": {"mean": 1.6190, "std": 1.0226}},
-    "random_forest": {"trees": 100, "max_depth": 5},
-    "gmm": {"n_components": 3, "probability_threshold_percentile": 10},
-    "consensus": {"min_votes": 2, "models_used": ["zscore", "kmeans", "gmm"]},
-    "streaming_simplified": {
-        "return_threshold_pct": 1.0,
-        "log_return_threshold_pct": 1.0,
-        "price_range_threshold_pct": 1.5,
-        "volume_spike_threshold_pct": 200,
-    },
-}
-
 PARAMS_SCHEMA = StructType([
     StructField("symbol", StringType()),
     StructField("interval", StringType()),
@@ -106,24 +81,25 @@ def from_dict(d: dict, source: str | None = None) -> Params:
     )
 
 
-def load_params(paths: list[str] | str | None = None) -> Params:
-    """First readable JSON file among ``paths``; the fallback set otherwise."""
-    if isinstance(paths, str):
-        paths = [paths]
-    for p in paths or []:
-        if p and os.path.exists(p):
-            try:
-                with open(p) as fh:
-                    return from_dict(json.load(fh), source=p)
-            except (OSError, ValueError):
-                continue
+def load_params(spark: SparkSession, paths: list[str] | str | None = None) -> Params:
+    """The first JSON document among ``paths`` that exists (read through
+    Spark, so any file system will do); the fallback set, with a warning, if
+    none does. A document that exists but does not parse is an error."""
+    tried = [paths] if isinstance(paths, str) else list(paths or [])
+    for p in tried:
+        try:
+            docs = spark.read.text(p, wholetext=True).limit(2).collect()        # one small document
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        if len(docs) != 1:
+            raise ValueError(f"{p}: expected one JSON document, found {len(docs)}")
+        return from_dict(json.loads(docs[0]["value"]), source=p)
+    warnings.warn(f"no model parameters at {tried}; the built-in fallback parameters are used", stacklevel=2)
     return Params(source=None)
 
 
-def published() -> Params:
-    return from_dict(copy.deepcopy(PUBLISHED), source="published")
-
-
 def read_params_table(spark: SparkSession, path: str) -> DataFrame:
     """Distributed read of a params JSON document (``multiLine``) flattened
     to (symbol, interval, feature, mean, std) with ``stack``."""

@@ -8,11 +8,13 @@ with ``foreachBatch``.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from barwatch.sources.kline import decode_candles
+from barwatch.sources.kline import candle_messages, decode_candles
 
 KAFKA_DEFAULTS = {"startingOffsets": "latest", "failOnDataLoss": "false"}
 
@@ -90,11 +92,41 @@ def latest_per_key(landed: DataFrame, keys: list[str]) -> DataFrame:
     return dedupe_first(landed, keys, [F.col("_batch_id").desc()]).drop("_batch_id")
 
 
-def run_until_done(*queries: StreamingQuery, timeout_s: float = 600) -> None:
-    """Wait for bounded (availableNow) queries; raise if one failed."""
-    for qy in queries:
-        qy.awaitTermination(timeout_s)
-        if qy.isActive:
+def start_kafka_sink(candles: DataFrame, topic: str, servers: str, checkpoint: str, trigger: dict | None = None,
+                     fmt: str = "kafka", **options) -> StreamingQuery:
+    """Candles as keyed topic messages (key = symbol keeps a symbol's order).
+
+    Needs the Kafka connector on the session's class path. ``fmt`` and
+    ``options`` let another sink take the same rows."""
+    w = candle_messages(candles).writeStream.format(fmt).option("checkpointLocation", checkpoint)
+    if fmt == "kafka":
+        w = w.option("kafka.bootstrap.servers", servers).option("topic", topic)
+    for k, v in options.items():
+        w = w.option(k, v)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def write_candles_kafka(candles: DataFrame, topic: str, servers: str) -> None:
+    """A7, batch form: the same messages written once."""
+    candle_messages(candles).write.format("kafka").option("kafka.bootstrap.servers", servers) \
+        .option("topic", topic).save()
+
+
+def run_until_done(*queries: StreamingQuery, timeout_s: float | None = None, poll_s: float = 0.2) -> None:
+    """Wait until all bounded (availableNow) queries have ended by themselves.
+
+    Whichever query fails first stops the others and its error is raised at
+    once. With ``timeout_s``, queries still running then are stopped and
+    ``TimeoutError`` is raised: a half-filled sink is never a result."""
+    running = list(queries)
+    end = None if timeout_s is None else time.monotonic() + timeout_s
+    try:
+        while running:
+            for qy in list(running):
+                if qy.awaitTermination(poll_s):          # raises if the query failed
+                    running.remove(qy)
+            if running and end is not None and time.monotonic() > end:
+                raise TimeoutError(f"{len(running)} streaming queries were still running after {timeout_s} s")
+    finally:
+        for qy in running:
             qy.stop()
-        if qy.exception() is not None:
-            raise RuntimeError(str(qy.exception()))

@@ -17,6 +17,7 @@ from barwatch.functions import flags as fl
 WINDOW = "1 hour"
 SLIDE = "1 minute"
 WATERMARK = "10 minutes"
+DECIMAL_VOLUME = 1e18            # sums of larger volumes could leave DECIMAL(38, 9)
 
 # Window rule names, in reason order.
 REASONS = [("VOLATILITY", "volatility_anomaly"), ("RANGE", "range_anomaly"), ("VOLUME", "volume_anomaly")]
@@ -39,7 +40,9 @@ def sliding_window_stats(candles: DataFrame, ts_col: str = "timestamp", window:
     # Volumes are 2-decimal quantities, so a 2-digit round of their mean hits
     # exact ties (x.xx5); averaging in DECIMAL makes the tie exact and the
     # HALF_UP result independent of summation order.
-    avg_volume = (F.round(F.avg(F.col("volume").cast("decimal(38,9)")), 2).cast("double") if digits
+    # Beyond the range of that type the mean is taken in doubles.
+    exact = F.round(F.avg(F.col("volume").try_cast("decimal(38,9)")), 2).cast("double")
+    avg_volume = (F.when(F.max(F.abs("volume")) < DECIMAL_VOLUME, exact).otherwise(F.round(F.avg("volume"), 2)) if digits
                   else F.avg("volume"))
     return (df.groupBy(F.window(F.col(ts_col), window, slide).alias("window"), F.col("symbol"))
               .agg(r4(F.avg("return")).alias("avg_return"),
