@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +32,25 @@ def replace_columns(df: DataFrame, **cols: Column) -> DataFrame:
                      *[c.alias(n) for n, c in cols.items()])
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once per application; they need
+    not find it on their own path."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        package = Path(__file__).resolve().parent.parent
+        target = Path(tempfile.mkdtemp(prefix="barwatch-")) / "barwatch.zip"       # the driver serves it from here
+        with zipfile.ZipFile(target, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(target))
+        _SHIPPED.add(app)
+
+
 def arrow_batch_rows(spark: SparkSession, rows: int) -> None:
-    """Rows per Arrow batch: bounds what one Python worker holds of long texts."""
+    """Called before Python runs on executors: ships the package and sets the
+    rows per Arrow batch, which bounds what one worker holds of long texts."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

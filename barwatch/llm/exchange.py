@@ -12,17 +12,23 @@ document. Chunks and ranges grow in number with the corpus, not in size.
     chunk -> (range, chunk, keys, counts) -> sums by key -> (chunk, range, totals)
 
 Blobs are byte planes (all first bytes, then all second bytes, ...) of key
-differences and counts, which the shuffle's compression makes small.
+differences and counts, which the shuffle's compression makes small. The texts
+of a chunk travel once, as zstd blobs of many texts.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 4 << 20            # text in a chunk
+GATHER_BYTES = 16 << 20          # text that a task gathers before it writes its chunks' blobs
+ZSTD_LEVEL = 6
 RANGE_KEYS = 2_000_000           # keys that a range receives, about
 
 REQUEST = "range int, chunk int, keys binary, counts binary"
@@ -48,17 +54,71 @@ def unpack_keys(data: bytes) -> np.ndarray:
     return np.cumsum(unplanes(data, np.uint64), dtype=np.uint64)
 
 
+def pack_counts(counts: np.ndarray) -> bytes:
+    """Counts in the narrowest whole-byte type that holds them; its size comes first."""
+    top = int(counts.max(initial=0))
+    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if top <= np.iinfo(k).max)
+    return bytes([np.dtype(kind).itemsize]) + planes(counts.reshape(-1).astype(kind))
+
+
+def unpack_counts(data: bytes, kinds: int) -> np.ndarray:
+    return unplanes(data[1:], np.dtype(f"u{data[0]}")).reshape(kinds, -1).astype(np.uint64)
+
+
 def corpus_size(docs: DataFrame, text: str) -> int:
     """Bytes of all texts."""
     return docs.select(F.sum(F.octet_length(F.col(f"`{text}`")))).first()[0] or 0
 
 
+CHUNKS = "chunk int, ids array<bigint>, lengths array<int>, texts binary"
+
+
 def in_chunks(docs: DataFrame, id_col: str, text: str, size: int) -> DataFrame:
-    """(chunk, __id, __text) of every row; equal ids share a chunk."""
+    """Rows dealt into chunks by a hash of the id: each row of the result holds
+    the ids and the compressed texts that one task has for one chunk."""
     chunks = max(1, -(-size // CHUNK_BYTES))
-    return docs.select(F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(chunks)).cast("int").alias("chunk"),
-                       F.col(f"`{id_col}`").cast("long").alias("__id"),
-                       F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
+    src = docs.select(F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(chunks)).cast("int").alias("chunk"),
+                      F.col(f"`{id_col}`").cast("long").alias("id"),
+                      F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        zstd = zstandard.ZstdCompressor(level=ZSTD_LEVEL)
+        held: dict[int, tuple[list, list]] = {}
+        held_bytes = 0
+
+        def blobs() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(held), pa.int32()), pa.array([i for i, _ in held.values()], pa.list_(pa.int64())),
+                 pa.array([[len(t) for t in ts] for _, ts in held.values()], pa.list_(pa.int32())),
+                 pa.array([zstd.compress(b"".join(ts)) for _, ts in held.values()], pa.binary())],
+                names=["chunk", "ids", "lengths", "texts"])
+
+        for b in batches:
+            for c, i, t in zip(*[col.to_pylist() for col in b.columns]):
+                ids, texts = held.setdefault(c, ([], []))
+                ids.append(i)
+                texts.append(t)
+                held_bytes += len(t) + 16
+            if held_bytes >= GATHER_BYTES:
+                yield blobs()
+                held, held_bytes = {}, 0
+        if held:
+            yield blobs()
+
+    return src.mapInArrow(run, CHUNKS)
+
+
+def read_chunk(part: pa.Table) -> tuple[list, list[str]]:
+    """Ids and texts of a chunk."""
+    zstd = zstandard.ZstdDecompressor()
+    ids, texts = [], []
+    for own, lengths, blob in zip(*[part[c].to_pylist() for c in ("ids", "lengths", "texts")]):
+        raw, at = zstd.decompress(blob), 0
+        ids += own
+        for n in lengths:
+            texts.append(raw[at:at + n].decode("utf-8", "replace"))
+            at += n
+    return ids, texts
 
 
 def ranges_for(keys: int) -> int:
@@ -81,13 +141,13 @@ def requests(chunk: int, keys: np.ndarray, counts: np.ndarray, ranges: int) -> p
         "range": pa.array([r for r, _, _ in rows], pa.int32()),
         "chunk": pa.array([chunk] * len(rows), pa.int32()),
         "keys": pa.array([pack_keys(keys[lo:hi]) for _, lo, hi in rows], pa.binary()),
-        "counts": pa.array([planes(counts[:, lo:hi].reshape(-1).astype(np.uint32)) for _, lo, hi in rows], pa.binary())})
+        "counts": pa.array([pack_counts(counts[:, lo:hi]) for _, lo, hi in rows], pa.binary())})
 
 
 def _totals(part: pa.Table, kinds: int) -> tuple[np.ndarray, np.ndarray, list[int], np.ndarray]:
     keys = [unpack_keys(k) for k in part["keys"].to_pylist()]
     sizes = [len(k) for k in keys]
-    counts = np.concatenate([unplanes(c, np.uint32).reshape(kinds, -1) for c in part["counts"].to_pylist()], axis=1)
+    counts = np.concatenate([unpack_counts(c, kinds) for c in part["counts"].to_pylist()], axis=1)
     distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
     sums = np.stack([np.bincount(place, c, minlength=len(distinct)) for c in counts])
     return distinct, sums, sizes, place
@@ -101,7 +161,7 @@ def answer(asked: DataFrame, kinds: int, summary=None) -> DataFrame:
         totals = sums[:, place].astype(np.uint64)
         at = np.concatenate([[0], np.cumsum(sizes)])
         chunk, rng = part["chunk"].to_pylist(), part["range"].to_pylist()
-        blobs = [planes(totals[:, lo:hi].reshape(-1)) for lo, hi in zip(at[:-1], at[1:])]
+        blobs = [pack_counts(totals[:, lo:hi]) for lo, hi in zip(at[:-1], at[1:])]
         if summary is not None:
             chunk, rng, blobs = [*chunk, -1], [*rng, rng[0]], [*blobs, summary(distinct, sums)]
         return pa.table({"chunk": pa.array(chunk, pa.int32()), "range": pa.array(rng, pa.int32()),
@@ -114,5 +174,5 @@ def gather(replies: pa.Table, kinds: int) -> np.ndarray:
     """A chunk's totals, in the order of its sorted keys: (kinds, keys)."""
     order = np.argsort(replies["range"].to_numpy())
     blobs = replies["totals"].to_pylist()
-    parts = [unplanes(blobs[i], np.uint64).reshape(kinds, -1) for i in order]
+    parts = [unpack_counts(blobs[i], kinds) for i in order]
     return np.concatenate(parts, axis=1) if parts else np.zeros((kinds, 0), np.uint64)

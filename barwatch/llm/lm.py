@@ -107,12 +107,12 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", or
     chunked = exchange.in_chunks(docs, id_col, text, size)
 
     def ask(part: pa.Table) -> pa.Table:
-        return _ask(part["__id"].to_pylist(), part["__text"].to_pylist(), order, part["chunk"][0].as_py(), ranges)
+        return _ask(*exchange.read_chunk(part), order, part["chunk"][0].as_py(), ranges)
 
     def tell(part: pa.Table, replies: pa.Table) -> pa.Table:
         if not part.num_rows:
             return _table([None] * replies.num_rows, [-1] * replies.num_rows, replies["totals"].to_pylist())
-        ids, texts = part["__id"].to_pylist(), part["__text"].to_pylist()
+        ids, texts = exchange.read_chunk(part)
         keys, per_text = token_keys(texts, order)
         distinct = np.unique(np.concatenate([[START_KEY], *keys]))
         totals = exchange.gather(replies, 2)

@@ -5,13 +5,14 @@ every document with the least document id it can reach over links.
 
 1. Equal sets form a class (128-bit sum of the shingle hashes and the size).
    Classes, not copies, are joined.
-2. Shingles are ordered by frequency, rare first, then by hash. The frequency of
-   half of them (chosen by hash; the others come last in the order) is counted
-   over the corpus with ``exchange``. A set whose shingles of frequency one
-   exceed what the threshold leaves over has no partner and drops out at once.
-3. The others enter the inverted index with their prefix: the first
-   n - ceil(t n) + 1 shingles of the order, of which two sets at or above the
-   threshold share at least one.
+2. The frequency of half of the shingles (chosen by hash) is counted over the
+   corpus with ``exchange``. A set whose shingles of frequency one exceed what
+   the threshold leaves over has no partner and drops out at once. Among the
+   sets that are left all shingles are counted the same way, and more drop out.
+3. The others enter the inverted index with their prefix. Shingles are ordered by
+   frequency, rare first, then by hash; the prefix is the first
+   n - ceil(t n) + 1 of a set, of which two sets at or above the threshold share
+   at least one.
 4. Answer-level skipping. In each list one set leads (the same one in most lists
    of a group of similar sets). All sets of the list are compared with it
    first; a set that links takes over the leader's component, and pairs inside
@@ -19,8 +20,9 @@ every document with the least document id it can reach over links.
 5. Index-level skipping. Lists whose sets are all in one component are skipped
    whole. In the others the sets outside the list's largest component meet the
    list in blocks of bounded size; a pair is dropped by size, by the position of
-   the shared shingle in both prefixes, and by a bound on the difference of two
-   sets from counts in 64 hash cells, and only then compared exactly.
+   the shared shingle in both prefixes, and by bounds on the difference of two
+   sets (shingles of frequency one; counts in 64 hash cells), and only then
+   compared exactly.
 
 No pair is lost: the filters are bounds, and a skipped pair lies in a component
 already. Groups of similar sets cost about their size, not its square, and no
@@ -69,66 +71,95 @@ def _class_key(s: np.ndarray) -> bytes:
 
 
 def _documents(docs: DataFrame, id_col: str, text: str, words: int, percent: int) -> DataFrame:
-    """Written table: doc_id, cls, n for every row; for sets that may have a
-    partner also start (shingles of frequency one), tokens (rest of the
-    prefix, in order), cells and the set itself."""
+    """Written table: doc_id, cls, n of every row, and the set itself
+    (``members``) if it may have a partner."""
     spark = docs.sparkSession
     arrow_batch_rows(spark, 256)
     size = exchange.corpus_size(docs, text)
     ranges = exchange.ranges_for(size // 14)
     chunked = exchange.in_chunks(docs, id_col, text, size)
 
-    def sampled(part: pa.Table) -> tuple[list, list, np.ndarray, np.ndarray]:
-        sets = list(shingle_sets(part["__text"].to_pylist(), words))
+    def sampled(part: pa.Table) -> tuple[list, list, list, np.ndarray, np.ndarray]:
+        ids, texts = exchange.read_chunk(part)
+        sets = list(shingle_sets(texts, words))
         keys = [_class_key(s) for s in sets]
         first = {k: i for i, k in enumerate(keys)}
         some = [sets[i][:np.searchsorted(sets[i], _HALF)] for i in first.values()]
         distinct, counts = np.unique(np.concatenate(some), return_counts=True)
-        return sets, keys, distinct, counts
+        return ids, sets, keys, distinct, counts
 
     def ask(part: pa.Table) -> pa.Table:
-        _, _, distinct, counts = sampled(part)
+        _, _, _, distinct, counts = sampled(part)
         return exchange.requests(part["chunk"][0].as_py(), distinct << np.uint64(1), counts[None, :], ranges)
 
     def tell(part: pa.Table, replies: pa.Table) -> pa.Table:
-        sets, keys, distinct, _ = sampled(part)
+        ids, sets, keys, distinct, _ = sampled(part)
         totals = exchange.gather(replies, 1)[0]
-        start, tokens, cells, blobs = [], [], [], []
+        blobs = []
         for s in sets:
-            n = len(s)
-            half = np.searchsorted(s, _HALF)
-            df = totals[np.searchsorted(distinct, s[:half])] if half else np.empty(0, np.uint64)
-            spare = n - _needed(n, percent)
-            alone = int((df == 1).sum())
-            if n == 0 or alone > spare:
-                for out in (start, tokens, cells, blobs):
-                    out.append(None)
-                continue
-            order = np.concatenate([s[:half][np.argsort(df, kind="stable")], s[half:]])
-            start.append(alone)
-            tokens.append(order[alone:spare + 1].view(np.int64))
-            cells.append(np.minimum(np.bincount((s & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS), 255)
-                         .astype(np.uint8).tobytes())
-            blobs.append(s.tobytes())
-        return pa.table({"doc_id": part["__id"], "cls": pa.array(keys, pa.binary()),
-                         "n": pa.array([len(s) for s in sets], pa.int64()), "start": pa.array(start, pa.int32()),
-                         "tokens": pa.array(tokens, pa.list_(pa.int64())), "cells": pa.array(cells, pa.binary()),
-                         "members": pa.array(blobs, pa.binary())})
+            half = s[:np.searchsorted(s, _HALF)]
+            alone = int((totals[np.searchsorted(distinct, half)] == 1).sum())
+            blobs.append(s.tobytes() if len(s) and alone <= len(s) - _needed(len(s), percent) else None)
+        return pa.table({"doc_id": pa.array(ids, pa.int64()), "cls": pa.array(keys, pa.binary()),
+                         "n": pa.array([len(s) for s in sets], pa.int64()), "members": pa.array(blobs, pa.binary())})
 
     replies = exchange.answer(chunked.groupBy("chunk").applyInArrow(ask, exchange.REQUEST), 1)
     out = chunked.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
-        tell, "doc_id bigint, cls binary, n bigint, start int, tokens array<bigint>, cells binary, members binary")
+        tell, "doc_id bigint, cls binary, n bigint, members binary")
     path = scratch_path(spark, "jaccard-sets")
     out.write.parquet(path)
     return spark.read.parquet(path)
 
 
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """Written table of the sets that may have a partner among ``sets``, by the
+    frequencies of all shingles there: own (shingles of frequency one), tokens
+    (rest of the prefix, in order), cells, members."""
+    spark = sets.sparkSession
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    chunks = max(1, -(-total * 8 // exchange.CHUNK_BYTES))
+    ranges = exchange.ranges_for(total)
+    chunked = sets.select(F.pmod(F.xxhash64("cls"), F.lit(chunks)).cast("int").alias("chunk"), "cls", "members")
+
+    def read(part: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        own = [np.frombuffer(m, np.uint64) for m in part["members"].to_pylist()]
+        return (own, *np.unique(np.concatenate(own), return_counts=True))
+
+    def ask(part: pa.Table) -> pa.Table:
+        _, distinct, counts = read(part)
+        return exchange.requests(part["chunk"][0].as_py(), distinct, counts[None, :], ranges)
+
+    def tell(part: pa.Table, replies: pa.Table) -> pa.Table:
+        own, distinct, _ = read(part)
+        totals = exchange.gather(replies, 1)[0]
+        keep, alone_of, tokens, cells = [], [], [], []
+        for s in own:
+            df = totals[np.searchsorted(distinct, s)]
+            spare = len(s) - _needed(len(s), percent)
+            alone = int((df == 1).sum())
+            keep.append(alone <= spare)
+            alone_of.append(alone)
+            tokens.append(s[np.argsort(df, kind="stable")][alone:spare + 1].view(np.int64))
+            cells.append(np.minimum(np.bincount((s & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS), 255)
+                         .astype(np.uint8).tobytes())
+        out = pa.table({"cls": part["cls"], "n": pa.array([len(s) for s in own], pa.int64()),
+                        "own": pa.array(alone_of, pa.int64()), "tokens": pa.array(tokens, pa.list_(pa.int64())),
+                        "cells": pa.array(cells, pa.binary()), "members": part["members"]})
+        return out.filter(pa.array(keep))
+
+    replies = exchange.answer(chunked.groupBy("chunk").applyInArrow(ask, exchange.REQUEST), 1)
+    return materialize(chunked.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
+        tell, "cls binary, n bigint, own bigint, tokens array<bigint>, cells binary, members binary"), "jaccard-prefixes")
+
+
 def _linked(common, n1, n2, percent: int):
     return 100 * common >= percent * (n1 + n2 - common)
 
 
 def _may_link(n1, n2, diff, percent: int):
-    """Bounds: two linked sets have close sizes and differ in few shingles."""
+    """Bounds: two linked sets have close sizes and differ in few shingles. ``diff``
+    is a lower bound of the difference's size: that of the cell counts, or the
+    shingles that only one set of all has."""
     total = n1 + n2
     return (np.minimum(n1, n2) * 100 >= np.maximum(n1, n2) * percent) & (diff * (100 + percent) <= total * (100 - percent))
 
@@ -160,12 +191,14 @@ def _leader_pairs(index: DataFrame, lists: DataFrame, percent: int) -> DataFrame
     led = index.join(lists.select(F.col("token").alias("_t"), "lead"), F.col("token") == F.col("_t")) \
                .filter(F.col("lead.cls") != F.col("cls")) \
                .select(F.col("lead.cls").alias("a"), F.col("cls").alias("b"), F.col("lead.n").alias("na"),
-                       F.col("n").alias("nb"), F.col("lead.cells").alias("ca"), F.col("cells").alias("cb"))
+                       F.col("n").alias("nb"), F.col("lead.cells").alias("ca"), F.col("cells").alias("cb"),
+                       (F.col("lead.own") + F.col("own")).alias("own"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
             if t.num_rows:
                 diff = np.abs(_cells(t.column(4).to_pylist()) - _cells(t.column(5).to_pylist())).sum(axis=1)
+                diff = np.maximum(diff, t.column(6).to_numpy())
                 keep = _may_link(t.column(2).to_numpy(), t.column(3).to_numpy(), diff, percent)
                 yield t.select([0, 1]).filter(pa.array(keep))
 
@@ -186,7 +219,7 @@ def _rest_pairs(index: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
     place = lambda k: F.pmod(F.xxhash64("cls"), k).cast("int")
     x = x.withColumns({"rb": blocks("others"), "cb": blocks("m")})
-    cols = ["token", "cls", "n", "pos", "root", "cells"]
+    cols = ["token", "cls", "n", "own", "pos", "root", "cells"]
     rows = x.filter(F.col("root") != F.col("top")).select(
         *cols, F.lit(True).alias("is_row"), place(F.col("rb")).alias("i"),
         F.explode(F.sequence(F.lit(0), F.col("cb") - 1)).alias("j"))
@@ -195,7 +228,7 @@ def _rest_pairs(index: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
 
     def run(part: pa.Table) -> pa.Table:
         is_row = part["is_row"].to_numpy()
-        n, pos = part["n"].to_numpy(), part["pos"].to_numpy()
+        n, own, pos = part["n"].to_numpy(), part["own"].to_numpy(), part["pos"].to_numpy()
         cls, root = part["cls"].to_pylist(), part["root"].to_pylist()
         ids = {r: k for k, r in enumerate(dict.fromkeys(root))}
         comp = np.array([ids[r] for r in root])
@@ -207,6 +240,7 @@ def _rest_pairs(index: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
             # Shared shingles from this one on; at the first shared one of a pair the bound holds.
             most = 1 + np.minimum(n[i] - pos[i], n[k] - pos[k]) - 1
             k = k[_linked(most, n[i], n[k], percent)]
+            k = k[_may_link(n[i], n[k], own[i] + own[k], percent)]
             k = k[_may_link(n[i], n[k], np.abs(cells[k] - cells[i]).sum(axis=1), percent)]
             for j in k.tolist():
                 a.append(min(cls[i], cls[j]))
@@ -220,13 +254,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
                        percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     table = _documents(docs, id_col, text, words, percent)
-    sets = materialize(
-        table.filter(F.col("members").isNotNull())
-             .groupBy("cls").agg(F.first(F.struct("n", "start", "tokens", "cells", "members")).alias("s"))
-             .select("cls", "s.*"), "jaccard-classes")
-    entry = sets.select("cls", "n", "start", "cells", F.posexplode("tokens").alias("at", "token")) \
-                .withColumn("pos", F.col("at") + F.col("start")).drop("at", "start")
-    lead = F.min(F.struct(F.xxhash64("cls").alias("h"), "cls", "n", "cells"))
+    # Classes first; then the frequencies among those that are left, which drop more of them.
+    sets = materialize(table.filter(F.col("members").isNotNull()).groupBy("cls")
+                            .agg(F.first(F.struct("n", "members")).alias("s")).select("cls", "s.*"), "jaccard-classes")
+    sets = _prefixes(sets, percent)
+    entry = sets.select("cls", "n", "own", "cells", F.posexplode("tokens").alias("at", "token")) \
+                .withColumn("pos", F.col("at") + F.col("own")).drop("at")
+    # The set with the smallest share of shingles of its own is nearest to the middle of its group.
+    lead = F.min(F.struct((F.col("own") / F.col("n")).alias("share"), F.xxhash64("cls").alias("h"), "cls", "n", "own", "cells"))
     lists = entry.groupBy("token").agg(F.count(F.lit(1)).alias("m"), lead.alias("lead")).filter(F.col("m") > 1)
     lists = materialize(lists, "jaccard-lists")
     index = entry.join(lists.select("token"), "token", "left_semi")
