@@ -29,7 +29,7 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     e = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).filter(F.col("x") != F.col("y"))
     e = materialize(e.select(F.least("x", "y").alias("v"), F.greatest("x", "y").alias("u")).distinct(), "cc")
     seen = None
-    while True:
+    while not e.isEmpty():
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = (_least(both).filter(F.col("v") > F.col("u"))
                  .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct())

@@ -250,14 +250,8 @@ def _rest_pairs(index: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
     return rows.unionByName(columns).groupBy("token", "i", "j").applyInArrow(run, "a binary, b binary").distinct()
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = WORDS,
-                       percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
-    table = _documents(docs, id_col, text, words, percent)
-    # Classes first; then the frequencies among those that are left, which drop more of them.
-    sets = materialize(table.filter(F.col("members").isNotNull()).groupBy("cls")
-                            .agg(F.first(F.struct("n", "members")).alias("s")).select("cls", "s.*"), "jaccard-classes")
-    sets = _prefixes(sets, percent)
+def _join(sets: DataFrame, percent: int) -> DataFrame:
+    """(cls, comp) of every class that links with another; written."""
     entry = sets.select("cls", "n", "own", "cells", F.posexplode("tokens").alias("at", "token")) \
                 .withColumn("pos", F.col("at") + F.col("own")).drop("at")
     # The set with the smallest share of shingles of its own is nearest to the middle of its group.
@@ -278,7 +272,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
         F.col("node").alias("cls"), F.coalesce("_r", "root").alias("comp"))
     alone = merged.join(comps.select("node"), F.col("_n") == F.col("node"), "left_anti").select(
         F.col("_n").alias("cls"), F.col("_r").alias("comp"))
-    comp_of = materialize(of_star.union(alone), "jaccard-components")
+    return materialize(of_star.union(alone), "jaccard-components")
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = WORDS,
+                       percent: int = PERCENT) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id."""
+    table = _documents(docs, id_col, text, words, percent)
+    # Classes first; then the frequencies among those that are left, which drop more of them.
+    sets = materialize(table.filter(F.col("members").isNotNull()).groupBy("cls")
+                            .agg(F.first(F.struct("n", "members")).alias("s")).select("cls", "s.*"), "jaccard-classes")
+    sets = _prefixes(sets, percent)
+    comp_of = docs.sparkSession.createDataFrame([], "cls binary, comp binary") if sets.isEmpty() else _join(sets, percent)
     classes = table.filter(F.col("n") > 0).groupBy("cls").agg(F.min("doc_id").alias("first"))
     named = classes.join(comp_of, "cls", "left").select("cls", "first", F.coalesce("comp", "cls").alias("comp"))
     least = named.groupBy("comp").agg(F.min("first").alias("component_id"))

@@ -51,7 +51,7 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 SAMPLE = 6000
 ADD_FROM = 0.9
 BP_ROUNDS, DAMPING = 10, 0.5
-SKIP_PRIOR = 1.5                 # skip weights are pulled towards this for equal labels
+SKIP_PRIOR = 2.5                 # skip weights are pulled towards this for equal labels
 TRAIN_ROUNDS, RIDGE, STEP = 300, 1e-3, 0.1
 MASKED_PERCENT = 40
 
