@@ -291,3 +291,23 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     named = materialize(named.select("_c", "component_id"), "jaccard-named")
     return table.select("doc_id", "n", "cls").join(named, (F.col("cls") == F.col("_c")) & (F.col("n") > 0), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def oracle_sql() -> str:
+    """DuckDB SQL of the registered query over table documents: all pairs that
+    share a shingle, then reachability."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    k = WORDS
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{upper}', '{lower}'),
+                            '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, w[i:i + {k - 1}] AS v FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {k} + 2, 2))) AS i
+      FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b ON a.v = b.v AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM c JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * shared >= {PERCENT} * (nx.n + ny.n - shared)),
+reach AS (SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+least AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least(d.doc_id, least.y), d.doc_id) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least ON least.x = d.doc_id
+"""

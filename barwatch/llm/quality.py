@@ -184,7 +184,10 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang",
         F.lit(0.0), F.lit(1.0) - F.aggregate(a, F.lit(0.0), lambda s, v: s + v))))
     x = x.withColumns({
         "_char_distance": F.when(judged, js_distance(chars, F.col("_ref_chars"))),
-        "_word_distance": F.when(F.col("_hits").isNotNull(), js_distance(rest(F.col("_hits")), rest(F.col("_ref_shares"))))})
+        "_word_distance": F.when(F.col("_hits").isNotNull(), js_distance(rest(F.col("_hits")), rest(F.col("_ref_shares")))),
+        # A filter on the verdict must not be pushed below this point: the optimizer
+        # would put the whole computation into the condition, many times over.
+        "_row": F.monotonically_increasing_id()})
     failed = ((F.col("_n") < BASE_MIN_WORDS)
               | (F.col("_repeat") * 100 > F.col("_n") * BASE_MAX_REPEATED_PERCENT))
     near = (F.coalesce(F.col("_char_distance") <= MAX_CHAR_DISTANCE, F.lit(True))
@@ -193,5 +196,49 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang",
         x, n_words=F.col("_n"), word_chars=F.length(F.array_join("_w", "")).cast("long"), n_symbols=F.col("_c_symbol"),
         n_dup_lines=(F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
         n_repeat_words=F.col("_repeat"), base_failed=failed, char_distance=F.col("_char_distance"),
-        word_distance=F.col("_word_distance"), kept=~failed & near)
+        word_distance=F.col("_word_distance"), kept=~failed & near & (F.col("_row") >= 0))
     return out.select(*[c for c in out.columns if c in docs.columns or not c.startswith("_")])
+
+
+def oracle_sql() -> str:
+    """DuckDB SQL of the registered query over table documents."""
+    q = lambda s: s.replace("'", "''")
+    blank = "[\\x20\\x09-\\x0D]"
+    k = REPEAT_WINDOW
+    classes = ", ".join(f"length(t) - length(regexp_replace(t, '{q(p)}', '', 'g')) AS c_{n}" for n, p in CHAR_CLASSES.items())
+    sums = ", ".join(f"sum(c_{n}) AS c_{n}" for n in CHAR_CLASSES)
+    total = " + ".join(f"c_{n}" for n in CHAR_CLASSES)
+    own = "[" + ", ".join(f"c_{n} / n_chars" for n in CHAR_CLASSES) + f", (n_chars - ({total})) / n_chars]"
+    part = lambda a, m: f"CASE WHEN {a} > 0 THEN {a} * log2({a} / {m}) ELSE 0 END"
+    distance = lambda p, r: (f"sqrt(greatest(0, list_sum(list_transform(list_zip({p}, {r}), "
+                             f"lambda z: {part('z[1]', '((z[1] + z[2]) / 2)')} + {part('z[2]', '((z[1] + z[2]) / 2)')})) / 2))")
+    rest = lambda a: f"list_append({a}, greatest(0, 1 - coalesce(list_sum({a}), 0)))"
+    return f"""
+WITH d0 AS (SELECT doc_id, lang, coalesce(text, '') AS t, row_number() OVER () AS rid FROM documents),
+d1 AS (SELECT *, list_filter(regexp_split_to_array(t, '{blank}+'), lambda x: x <> '') AS w,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM d0),
+d AS (SELECT *, len(w) AS n_words, length(t) AS n_chars, {classes} FROM d1),
+win AS (SELECT rid, i, w[i:i + {k - 1}] AS v FROM (SELECT rid, w, unnest(range(1, n_words - {k} + 2)) AS i FROM d WHERE n_words >= {k})),
+twice AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, v) AS c FROM win) WHERE c > 1),
+rep AS (SELECT rid, count(DISTINCT i + o) AS n_repeat_words FROM twice, range({k}) AS r(o) GROUP BY rid),
+langs AS (SELECT lang, sum(n_words) AS lang_words, sum(n_chars) AS n_chars, {sums} FROM d GROUP BY lang
+          HAVING sum(n_words) >= {MIN_REFERENCE_WORDS}),
+counts AS (SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(w) AS word FROM d) GROUP BY lang, word),
+common AS (SELECT c.lang, list(word ORDER BY word) AS words, list(n / lang_words ORDER BY word) AS shares
+           FROM counts c JOIN langs l ON c.lang IS NOT DISTINCT FROM l.lang WHERE n >= lang_words * {MIN_SHARE} GROUP BY c.lang),
+refs AS (SELECT l.lang, {own} AS ref_chars, words, shares FROM langs l LEFT JOIN common c ON l.lang IS NOT DISTINCT FROM c.lang),
+j AS (SELECT d.*, coalesce(n_repeat_words, 0) AS n_repeat_words, ref_chars, words, shares,
+        n_words >= {MIN_WORDS} AND ref_chars IS NOT NULL AS judged
+      FROM d LEFT JOIN rep USING (rid) LEFT JOIN refs ON d.lang IS NOT DISTINCT FROM refs.lang),
+s AS (SELECT *, CASE WHEN judged THEN {distance(own, 'ref_chars')} END AS char_distance,
+        CASE WHEN judged AND len(words) > 0 THEN
+          list_transform(words, lambda c: len(list_filter(w, lambda x: x = c)) / n_words) END AS hits FROM j),
+v AS (SELECT *, CASE WHEN hits IS NOT NULL THEN {distance(rest('hits'), rest('shares'))} END AS word_distance FROM s)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(coalesce(length(list_aggregate(w, 'string_agg', '')), 0) AS BIGINT) AS word_chars,
+  CAST(c_symbol AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, n_words < {BASE_MIN_WORDS} OR 100 * n_repeat_words > {BASE_MAX_REPEATED_PERCENT} * n_words AS base_failed,
+  NOT (n_words < {BASE_MIN_WORDS} OR 100 * n_repeat_words > {BASE_MAX_REPEATED_PERCENT} * n_words)
+    AND coalesce(char_distance <= {MAX_CHAR_DISTANCE}, true) AND coalesce(word_distance <= {MAX_WORD_DISTANCE}, true) AS kept,
+  round(char_distance, 9) AS char_distance, round(word_distance, 9) AS word_distance
+FROM v
+"""

@@ -9,10 +9,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from barwatch.llm import ngram_jaccard, quality, url_filter
 from barwatch.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_url_filter": url_filter.oracle_sql(),
+    "op4_quality_rules": quality.oracle_sql(),
+    "op6_ngram_jaccard": ngram_jaccard.oracle_sql(),
+}
 
 
 def query(fn):
@@ -23,10 +28,12 @@ def query(fn):
 @query
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the divergence verdict of every document."""
+    from pyspark.sql import functions as F
+
     from barwatch.llm.quality import quality_rules
     return quality_rules(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "char_distance", "word_distance")
+        F.round("char_distance", 9).alias("char_distance"), F.round("word_distance", 9).alias("word_distance"))
 
 
 @query
@@ -63,14 +70,6 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(read_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
-def _op1_sql() -> str:
-    from barwatch.llm.url_filter import oracle_sql
-    return oracle_sql()
-
-
-SQL["op1_url_filter"] = _op1_sql()
-
-
 @query
 def op2_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, by spans; learned from the rows that are not held out."""
