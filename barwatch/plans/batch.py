@@ -369,3 +369,23 @@ def lookup_params_q(spark, sf_dir):
     x = scoring.with_params_table(c, default.unionByName(specific), ["return"], keys=["symbol"])
     x = scoring.zscore_columns(x, ["return"])
     return rounded(x.select("symbol", "timestamp", "return_zscore"))
+
+
+@register("flag_any_feature", sql=f"""{q.with_features()},
+{q.zscore_cte()}
+SELECT symbol, "interval", bar_ts, anomaly_zscore AS any_feature FROM zs""")
+def flag_any_feature(spark, sf_dir):
+    """1 when any feature's |z| exceeds the threshold."""
+    f = features(spark, sf_dir, keep=True)
+    x = scoring.zscore_columns(st.attach(f, st.fit_stats(f, fe.FEATURES).drop("n"), ["symbol"]), fe.FEATURES)
+    flag = fl.any_condition([F.abs(F.col(f"{c}_zscore")) > 3.0 for c in fe.FEATURES])
+    return x.select("symbol", "interval", "bar_ts", flag.alias("any_feature"))
+
+
+@register("flag_min_votes", sql=f"""WITH {q.candles_cte()}, {q.candle_detector_cte(pm.Params())}
+SELECT symbol, "timestamp", CAST(candle_votes AS INTEGER) AS votes, candle_votes >= 2 AS flagged FROM scored""")
+def flag_min_votes(spark, sf_dir):
+    """True when at least two of the votes are raised."""
+    c = scoring.candle_detector(candles(spark, sf_dir), pm.Params())
+    return c.select("symbol", "timestamp", F.col("candle_votes").cast("int").alias("votes"),
+                    fl.min_votes("candle_votes", 2).alias("flagged"))

@@ -18,7 +18,7 @@ from barwatch.plans import sql as q
 from barwatch.plans.batch import OHLCV, _CANDLE_SQL_OUT, bars, features, zscore_flags
 from barwatch.plans.catalog import r9, register, rounded
 from barwatch.plans.streams import P, _stream_candles, candle_rows, land_messages
-from barwatch.session import scratch_path
+from barwatch.session import materialize, scratch_path
 from barwatch.sources import files as fs
 from barwatch.sources import kline as kl
 from barwatch.sources import params as pm
@@ -179,11 +179,6 @@ def save_model_params(spark, sf_dir):
     return rounded(spark.read.parquet(f"{path}/statistics"))
 
 
-# Pinned centres for the realtime features (return,
-# log_return, price_range) in standardised space.
-REALTIME_CENTERS = [[0.0, 0.0, 0.0], [2.0, 2.0, 2.0], [-2.0, -2.0, 2.0]]
-
-
 @register("latest_files_scan", sql=f"""WITH {q.candles_cte()}, {q.candle_detector_cte(P)}
 SELECT {_CANDLE_SQL_OUT} FROM (SELECT * FROM scored ORDER BY "timestamp" DESC, symbol LIMIT 200)""")
 def latest_files_scan(spark, sf_dir):
@@ -201,24 +196,119 @@ def latest_files_scan(spark, sf_dir):
     return rounded(fs.latest_output(spark, sink, schema, n_files=50, n_rows=200))
 
 
-@register("score_stream_with_model")
-def score_stream_with_model(spark, sf_dir):
-    """The stream scored by a saved model — scaling statistics and the
-    distance threshold fitted in batch, centres pinned — per candle."""
+# Pinned centres for the realtime features (return,
+# log_return, price_range) in standardised space.
+REALTIME_CENTERS = [[0.0, 0.0, 0.0], [2.0, 2.0, 2.0], [-2.0, -2.0, 2.0]]
+REALTIME_FEATURES = ["return", "log_return", "price_range"]
+
+
+def publish_realtime_model(spark, sf_dir, path: str) -> None:
+    """K9 for the stream: per-(symbol, interval) scaling statistics of the
+    realtime features and mean + 2 sigma of the distance to the nearest pinned
+    centre, all fitted on the candles and written as one small table."""
     from barwatch.plans.batch import candles
-    feats = ["return", "log_return", "price_range"]
-    batch = candles(spark, sf_dir)
-    stats = st.fit_stats(batch, feats, by=[]).first()          # 6 numbers: a model, not data
-    src, sink, ckpt = (scratch_path(spark, n) for n in ("k10-src", "k10-sink", "k10-ckpt"))
+    series = ["symbol", "interval"]
+    c = materialize(candles(spark, sf_dir).select(*series, *REALTIME_FEATURES), "candles")
+    fitted = materialize(st.fit_stats(c, REALTIME_FEATURES, by=series), "realtime-stats")
+    scored = realtime_distance(st.keyed_join(c, fitted, series))
+    limits = st.threshold_mean_k_std(scored, "distance", 2.0, by=series).select(*series, "threshold")
+    st.keyed_join(fitted, limits, series).write.mode("overwrite").parquet(path)
+
+
+def realtime_distance(df):
+    """Cluster and distance of rows that carry mean_/std_ columns."""
+    z = F.array(*[F.try_divide(F.col(f) - F.col(f"mean_{f}"), F.col(f"std_{f}")) for f in REALTIME_FEATURES])
+    return nearest_center(df.withColumn("z", z), F.col("z"), REALTIME_CENTERS)
+
+
+def _distance_sql() -> str:
+    square = lambda c: " + ".join(f'(z_{f} - {v}) * (z_{f} - {v})' for f, v in zip(REALTIME_FEATURES, c))
+    d = [f"({square(c)})" for c in REALTIME_CENTERS]
+    nearest = f"least({', '.join(d)})"
+    index = " ".join(f"WHEN {x} = {nearest} THEN {i}" for i, x in enumerate(d))
+    return f"sqrt({nearest}) AS distance, CASE {index} END AS cluster"
+
+
+@register("score_stream_with_model", sql=f"""WITH {q.candles_cte()},
+st AS (SELECT symbol, {', '.join(f'avg("{f}") AS m_{f}, stddev_samp("{f}") AS s_{f}' for f in REALTIME_FEATURES)}
+       FROM candles GROUP BY symbol),
+z AS (SELECT "timestamp", c.symbol, {', '.join(f'("{f}" - m_{f}) / NULLIF(s_{f}, 0) AS z_{f}' for f in REALTIME_FEATURES)}
+      FROM candles c JOIN st ON c.symbol = st.symbol),
+d AS (SELECT *, {_distance_sql()} FROM z),
+t AS (SELECT symbol, avg(distance) + 2 * stddev_samp(distance) AS threshold FROM d GROUP BY symbol)
+SELECT "timestamp", d.symbol, cluster, {r9('distance')}, CASE WHEN distance > threshold THEN 1 ELSE 0 END AS anomaly_kmeans
+FROM d JOIN t ON d.symbol = t.symbol""")
+def score_stream_with_model(spark, sf_dir):
+    """K9 -> K10: batch publishes scaling statistics and a threshold per series,
+    the stream joins what was published and scores every candle with it."""
+    model, src, sink, ckpt = (scratch_path(spark, n) for n in ("k10-model", "k10-src", "k10-sink", "k10-ckpt"))
+    publish_realtime_model(spark, sf_dir, model)
     land_messages(kl.candle_messages(candle_rows(spark, sf_dir)), src)
     from barwatch.functions import features as fx
     s = (_stream_candles(spark, src).withColumn("return", fx.return_intrabar())
          .withColumn("log_return", fx.log_return_intrabar()).withColumn("price_range", fx.price_range_low()))
-    z = F.array(*[F.try_divide(F.col(f) - F.lit(stats[f"mean_{f}"]), F.lit(stats[f"std_{f}"])) for f in feats])
-    scored = nearest_center(s.withColumn("z", z), F.col("z"), REALTIME_CENTERS)
-    threshold = 3.0
-    scored = scored.withColumn("anomaly_kmeans", F.when(F.col("distance") > threshold, 1).otherwise(0))
+    published = spark.read.parquet(model).drop("n")
+    scored = realtime_distance(st.keyed_join(s, published, ["symbol", "interval"], "inner"))
+    scored = scored.withColumn("anomaly_kmeans", F.when(F.col("distance") > F.col("threshold"), 1).otherwise(0))
     out = scored.select(F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "symbol", "cluster",
                         "distance", "anomaly_kmeans")
     runner.run_until_done(runner.start_file_sink(out, sink, ckpt))
     return rounded(spark.read.parquet(sink))
+
+
+@register("load_model_params", sql=f"""WITH {q.candles_cte()},
+st AS (SELECT {', '.join(f'avg("{f}") AS m_{f}, stddev_samp("{f}") AS s_{f}' for f in REALTIME_FEATURES)} FROM candles)
+SELECT symbol, "timestamp", {', '.join(r9(f'("{f}" - m_{f}) / s_{f}', f + '_zscore') for f in REALTIME_FEATURES)}
+FROM candles, st""")
+def load_model_params(spark, sf_dir):
+    """Statistics of the candles published as one JSON document, loaded from
+    the first path that exists and used as pinned parameters."""
+    from barwatch.operators import scoring
+    from barwatch.plans.batch import candles
+    path = scratch_path(spark, "a12-params")
+    c = materialize(candles(spark, sf_dir).select("symbol", "timestamp", *REALTIME_FEATURES), "candles")
+    stats = st.fit_stats(c, REALTIME_FEATURES, by=[])
+    doc = F.to_json(F.struct(F.struct(F.lit(3.0).alias("threshold"), F.struct(*[
+        F.struct(F.col(f"mean_{f}").alias("mean"), F.col(f"std_{f}").alias("std")).alias(f)
+        for f in REALTIME_FEATURES]).alias("statistics")).alias("zscore")))
+    stats.select(doc.alias("value")).coalesce(1).write.text(path)         # one row
+    params = pm.load_params(spark, [path + "-absent", path])
+    scored = scoring.zscore_given_params(c, REALTIME_FEATURES, params)
+    return rounded(scored.select("symbol", "timestamp", *[f"{f}_zscore" for f in REALTIME_FEATURES]))
+
+
+@register("sink_stream_csv", sql=f"""WITH {q.candles_cte()}, {q.candle_detector_cte(P)}
+SELECT {_CANDLE_SQL_OUT} FROM scored""")
+def sink_stream_csv(spark, sf_dir):
+    """A10: scored candles appended to CSV files with a header by a checkpointed stream; all rows read back."""
+    from barwatch.plans.streams import _score_candles
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("a10-src", "a10-sink", "a10-ckpt"))
+    land_messages(kl.candle_messages(candle_rows(spark, sf_dir)), src)
+    out = _score_candles(_stream_candles(spark, src))
+    runner.run_until_done(runner.start_file_sink(out, sink, ckpt, fmt="csv"))
+    return rounded(spark.read.schema(out.schema).option("header", True).csv(sink))
+
+
+@register("sink_stream_console", sql=f"""WITH {q.candles_cte()}
+SELECT symbol, count(*) AS candles, max("timestamp") AS last_ts FROM candles GROUP BY symbol""")
+def sink_stream_console(spark, sf_dir):
+    """The monitoring sink in update mode (memory in place of the console):
+    one row a symbol, so the driver holds a few rows."""
+    src, ckpt = scratch_path(spark, "a11-src"), scratch_path(spark, "a11-ckpt")
+    land_messages(kl.candle_messages(candle_rows(spark, sf_dir)), src)
+    name = "monitor_" + ckpt.rsplit("-", 1)[-1]
+    counts = _stream_candles(spark, src).groupBy("symbol").agg(F.count(F.lit(1)).alias("candles"), F.max("timestamp").alias("last_ts"))
+    runner.run_until_done(runner.start_console_sink(counts, ckpt, fmt="memory", query_name=name))
+    return spark.table(name).groupBy("symbol").agg(
+        F.max("candles").alias("candles"), F.max("last_ts").cast("timestamp_ntz").alias("last_ts"))
+
+
+@register("src_kafka_candles", sql=f"""{_CANDLE_SQL}
+SELECT * FROM c""")
+def src_kafka_candles(spark, sf_dir):
+    """A4: the topic's messages read as a stream and decoded (files of messages in place of a broker)."""
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("a4-src", "a4-sink", "a4-ckpt"))
+    land_messages(kl.candle_messages(candle_rows(spark, sf_dir)), src)
+    d = _stream_candles(spark, src).select(*_CANDLE_COLS[:-1], F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
+    runner.run_until_done(runner.start_file_sink(d, sink, ckpt))
+    return rounded(spark.read.parquet(sink))

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from barwatch.functions import flags as fl
@@ -304,6 +305,14 @@ def rf_importance(spark, sf_dir):
     return rounded(dt.rf_importance(fitted_methods(spark, sf_dir)["rf_model"], FEATS, spark))
 
 
+@register("feature_importance_rank")
+def feature_importance_rank(spark, sf_dir):
+    """features ranked by importance, 1 = highest (ties by name)."""
+    imp = dt.rf_importance(fitted_methods(spark, sf_dir)["rf_model"], FEATS, spark)          # one row a feature
+    order = Window.orderBy(F.col("importance").desc(), "feature")
+    return rounded(imp.withColumn("rank", F.row_number().over(order)))
+
+
 @register("rf_metrics")
 def rf_metrics(spark, sf_dir):
     """D14 on the RF test split: accuracy, weighted precision/recall/F1."""
