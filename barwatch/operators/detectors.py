@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from barwatch.functions.numeric import hash_bucket
 from barwatch.operators.stats import QUANTILE_ACCURACY
+from barwatch.session import materialize
 
 SEED = 42
 
@@ -102,7 +103,7 @@ def kmeans_detect(features_df: DataFrame, features: list[str], k: int = 3, n_sig
     :func:`assemble_scale`) to share one standardisation between models."""
     if scaled is None:
         _, scaled = assemble_scale(features_df, features)
-        scaled = scaled.persist()      # k-means iterates over its input
+        scaled = materialize(scaled, "scaled")      # k-means iterates over its input
     model = kmeans_fit(scaled, k, seed)
     centers = [list(map(float, c)) for c in model.clusterCenters()]
     x = model.transform(scaled)
@@ -193,7 +194,7 @@ def gmm_detect(features_df: DataFrame, features: list[str], k: int = 3, q: float
     """K6: scale, fit GMM, max posterior, flag below its 10th percentile."""
     if scaled is None:
         _, scaled = assemble_scale(features_df, features)
-        scaled = scaled.persist()      # EM iterates over its input
+        scaled = materialize(scaled, "scaled")      # EM iterates over its input
     model = gmm_fit(scaled, k, seed)
     x = model.transform(scaled).withColumn("max_probability", max_probability())
     return model, flag_below_quantile(x, "max_probability", q, "anomaly_gmm")

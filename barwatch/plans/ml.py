@@ -265,24 +265,26 @@ def top_votes(spark, sf_dir):
 
 # --- fitted models (rows-only at the driver; invariants in tests) -----------------
 
-def fitted_methods(spark, sf_dir):
-    """All four fitted detectors over one materialised feature table and one
-    persisted standardisation (k-means, RF and GMM all read it).
+def fitted_methods(spark, sf_dir, with_gmm: bool = True):
+    """The fitted detectors over one written feature table and one written
+    standardisation (k-means, RF and, if asked for, GMM all read it).
 
     Returns dict of DataFrames keyed by method plus the RF model."""
     f = features(spark, sf_dir, keep=True)
     z = zscore_flags(spark, sf_dir, f)
     _, scaled = dt.assemble_scale(f, FEATS)
-    scaled = scaled.persist()
+    scaled = materialize(scaled, "scaled")
     _, km = dt.kmeans_detect(f, FEATS, scaled=scaled)
-    km = km.select(*BAR_KEY, "cluster", "distance", "anomaly_kmeans").persist()
-    labelled = dt.hash_split(join_pseudo_labels(scaled, km), BAR_KEY, 80).persist()
+    km = materialize(km.select(*BAR_KEY, "cluster", "distance", "anomaly_kmeans"), "kmeans")
+    labelled = materialize(dt.hash_split(join_pseudo_labels(scaled, km), BAR_KEY, 80), "labelled")
     rf = dt.rf_fit(labelled.filter(F.col("split") == "train"))
     rf_out = rf.transform(labelled).select(*BAR_KEY, "label", F.col("prediction").cast("int").alias("anomaly_rf"),
                                            "split")
-    _, gm = dt.gmm_detect(f, FEATS, scaled=scaled)
-    gm = gm.select(*BAR_KEY, "cluster", "max_probability", "anomaly_gmm")
-    return {"zscore": z, "kmeans": km, "rf": rf_out, "gmm": gm, "rf_model": rf}
+    out = {"zscore": z, "kmeans": km, "rf": rf_out, "rf_model": rf}
+    if with_gmm:
+        _, gm = dt.gmm_detect(f, FEATS, scaled=scaled)
+        out["gmm"] = gm.select(*BAR_KEY, "cluster", "max_probability", "anomaly_gmm")
+    return out
 
 
 @register("kmeans_fit_detector")
@@ -296,19 +298,19 @@ def kmeans_fit_detector(spark, sf_dir):
 def rf_detector(spark, sf_dir):
     """K4: random forest (100 trees, depth 5) trained on the 80 % split with
     k-means pseudo-labels, scoring every bar."""
-    return fitted_methods(spark, sf_dir)["rf"]
+    return fitted_methods(spark, sf_dir, with_gmm=False)["rf"]
 
 
 @register("rf_importance")
 def rf_importance(spark, sf_dir):
     """Feature importances, highest first (sum to 1)."""
-    return rounded(dt.rf_importance(fitted_methods(spark, sf_dir)["rf_model"], FEATS, spark))
+    return rounded(dt.rf_importance(fitted_methods(spark, sf_dir, with_gmm=False)["rf_model"], FEATS, spark))
 
 
 @register("feature_importance_rank")
 def feature_importance_rank(spark, sf_dir):
     """features ranked by importance, 1 = highest (ties by name)."""
-    imp = dt.rf_importance(fitted_methods(spark, sf_dir)["rf_model"], FEATS, spark)          # one row a feature
+    imp = dt.rf_importance(fitted_methods(spark, sf_dir, with_gmm=False)["rf_model"], FEATS, spark)          # one row a feature
     order = Window.orderBy(F.col("importance").desc(), "feature")
     return rounded(imp.withColumn("rank", F.row_number().over(order)))
 
@@ -316,7 +318,7 @@ def feature_importance_rank(spark, sf_dir):
 @register("rf_metrics")
 def rf_metrics(spark, sf_dir):
     """D14 on the RF test split: accuracy, weighted precision/recall/F1."""
-    rf = fitted_methods(spark, sf_dir)["rf"].filter(F.col("split") == "test")
+    rf = fitted_methods(spark, sf_dir, with_gmm=False)["rf"].filter(F.col("split") == "test")
     return rounded(rp.classification_metrics(rf, "label", "anomaly_rf"))
 
 
