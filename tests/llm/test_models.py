@@ -209,8 +209,8 @@ def test_messages_match_exact_marginals_on_a_tree():
 
 
 def test_skip_links_carry_labels(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    crf = pii.learn_pii(docs)
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    crf = pii.learn_pii(docs)                              # enough rows to fill the sample
     t = "mail bob.smith.77@mail.example.com and 4539578763621486 now. later bob.smith.77 wrote, in 1999 too"
     (base, every), = pii.all_spans(crf, [t])
     assert base == _brute(t) and set(base) < set(every)
