@@ -9,9 +9,10 @@ inverted lists around centres.
 
 A list is scanned in blocks of rows, column block by column block. After each
 column block a hypothesis test compares the partial distance of every remaining
-candidate with a bar, the distance of the query's k-th best among a
-fixed number of rows scanned first (whose k best are candidates too). One whose
-scaled partial distance exceeds it by more than the sampling error allows
+candidate with a bar. It starts as the distance of the query's k-th best among a
+fixed number of rows (whose k best are candidates too) and is lowered to the k-th
+best of the nearest lists, which are probed first. A candidate whose scaled
+partial distance exceeds it by more than the sampling error allows
 (factor 1 + EPSILON / sqrt(d)) is abandoned, so most candidates cost a few
 columns. Survivors get their exact inner product in double precision on the
 original vectors, and the best k of all lists and blocks win, ties to smaller
@@ -50,6 +51,7 @@ MAX_LISTS = 4096
 PROBE_SHARE = 0.68               # share of the lists that a query probes: the vectors have little structure
 MIN_PROBES = 8
 BLOCK_ROWS = 400
+FIRST_SHARE = 0.1                # share of a query's lists that are probed first
 BAR_ROWS = 1024                  # rows of the sample that give every query its first k and its bar
 QUERY_ROWS = 256                 # queries that meet a block at once
 COLUMNS = 16                     # columns of a column block
@@ -210,10 +212,6 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame | None = None, id_
         "list", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), "id", "v")
     asking = materialize(asked.mapInArrow(ask, "id bigint, v array<double>, l array<int>, bar double, "
                                                "near array<bigint>, score array<double>"), "ann-queries")
-    probing = asking \
-                   .select("id", "v", "bar", F.explode("l").alias("list")).join(F.broadcast(sizes), "list") \
-                   .select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "id", "v", "bar")
-
     def search(part: pa.Table, asking: pa.Table) -> pa.Table:
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if part.num_rows and asking.num_rows:
@@ -226,10 +224,25 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame | None = None, id_
         join = lambda i, kind: pa.array(np.concatenate([f[i] for f in found]) if found else [], kind)
         return pa.table({"query_id": join(0, pa.int64()), "vec_id": join(1, pa.int64()), "score": join(2, pa.float64())})
 
+    def probe(some: DataFrame) -> DataFrame:
+        """Best k of each block for the queries of ``some`` (id, v, bar, l) in the lists ``l``."""
+        at = some.select("id", "v", "bar", F.explode("l").alias("list")).join(F.broadcast(sizes), "list") \
+                 .select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "id", "v", "bar")
+        return rows.groupBy("list", "block").cogroup(at.groupBy("list", "block")).applyInArrow(search, _PAIR)
+
+    def ranked(pairs: DataFrame) -> DataFrame:
+        best = pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        return best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))) \
+                   .filter(F.col("rank") <= k)
+
     seeds = asking.select(F.col("id").alias("query_id"), F.explode(F.arrays_zip("near", "score")).alias("s")) \
                   .select("query_id", F.col("s.near").alias("vec_id"), F.col("s.score").alias("score")).filter("vec_id >= 0")
-    best = rows.groupBy("list", "block").cogroup(probing.groupBy("list", "block")).applyInArrow(search, _PAIR)
-    best = best.union(seeds).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k) \
-               .select("query_id", "rank", "vec_id", "score")
+    # The nearest lists first: their best lower the bar, so that the others give about k rows a query.
+    ahead = max(1, round(probes * FIRST_SHARE))
+    found = materialize(ranked(probe(asking.withColumn("l", F.slice("l", 1, ahead))).union(seeds)), "ann-first")
+    kth = found.filter(F.col("rank") == k).select(F.col("query_id").alias("_q"), F.col("score").alias("_s"))
+    square = F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c)
+    later = asking.select("id", "v", "bar", F.slice("l", ahead + 1, lists).alias("l")) \
+                  .join(kth, F.col("id") == F.col("_q"), "left") \
+                  .withColumn("bar", F.least("bar", square + index.norm ** 2 - 2 * F.col("_s")))
+    return ranked(found.select("query_id", "vec_id", "score").union(probe(later))).select("query_id", "rank", "vec_id", "score")
