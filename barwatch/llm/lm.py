@@ -49,6 +49,9 @@ LEAST_WEIGHT = 1e-6
 
 _END, _START = np.uint64(0x1D872B41D5F2A6C8), np.uint64(0)
 _TAG = np.uint64(7)              # the low bits of a key name its order
+# Keys from order 2 on are 56-bit hashes in the high bytes: the low byte of most
+# key differences is then 0 and costs nothing in a blob. Words keep 61 bits.
+_LONG_TAG = np.uint64(255)
 START_KEY = np.uint64(0)
 
 
@@ -72,7 +75,7 @@ def token_keys(texts: list[str], order: int) -> tuple[list[np.ndarray], np.ndarr
     for n in range(2, order + 1):
         before = np.where(place >= n - 1, np.roll(token, n - 1), _START)
         acc = acc + before * _PLACE[n - 1]
-        keys.append((mix64(acc + np.uint64(n)) & ~_TAG) | np.uint64(n))
+        keys.append((mix64(acc + np.uint64(n)) & ~_LONG_TAG) | np.uint64(n))
     return keys, per_text
 
 
