@@ -51,9 +51,9 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unigram base score and deleted-interpolation score of every document."""
+    """Unigram base score and deleted-interpolation score (order 3) of every document."""
     from barwatch.llm.lm import lm_scores
-    return lm_scores(read_table(spark, sf_dir, "documents"))
+    return lm_scores(read_table(spark, sf_dir, "documents"), order=3)
 
 
 @query

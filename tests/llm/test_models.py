@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 
 from barwatch.llm import bpe, langid, lm, pii, toxicity
 from barwatch.llm.common import crc_mod
+from barwatch.llm.queries import QUERIES
 from tests.llm.helpers import SF, clashing, crc, documents, low, words
 
 
@@ -130,6 +131,31 @@ def test_scores_match_brute_force(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_registered_query_matches_brute_force_at_order_three(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    got = {r.doc_id: r for r in QUERIES["op8_deleted_interpolation"](spark, SF).collect()}
+    one, two, three, starts = Counter(), Counter(), Counter(), 0
+    for _, t in [(i, t) for i, t in rows if crc(i, 7) != 2]:
+        seq = _tokens(t)
+        one.update(seq)
+        two.update(zip(["<s>", *seq], seq))
+        three.update(zip(["<s>", "<s>", *seq], ["<s>", *seq], seq))
+        starts += 1
+    n, v = sum(one.values()), len(one)
+    counts = lm.token_counts(docs, order=3)
+    weights = lm.learn_weights(counts, lm.corpus_sums(counts), 3)
+    assert weights.shape == (lm.BUCKETS, 4) and len(got) == len(rows)
+    for i, t in rows:
+        seq, score = _tokens(t), 0.0
+        for g, h, w in zip(["<s>", "<s>", *seq], ["<s>", *seq], seq):
+            near, far = (starts, starts) if h == "<s>" else (one[h], two[g, h])
+            lam = weights[min(lm.BUCKETS - 1, 1 + int(math.log2(far))) if far else 0]
+            score += math.log10(lam[0] * one[w] / n + lam[1] * (two[h, w] / near if near else 0)
+                                + lam[2] * (three[g, h, w] / far if far else 0) + lam[3] / (v + 1))
+        assert got[i].score == pytest.approx(score, abs=1e-6)
+
+
 def test_lm_empty_and_untrained(spark):
     assert lm.lm_scores(documents(spark, [])).count() == 0
     out = next(i for i in range(100) if crc(i, 7) == 2)
