@@ -13,8 +13,8 @@ is broadcast or collected. The per-token totals are written once; the fold's
 rows of that table feed EM, and all its rows are scored from it.
 
 EM sees the held-out events as a histogram over (bucket, one quantised
-likelihood per order); its size is bounded by BUCKETS * (STEPS + 1) ** order
-whatever the corpus holds.
+likelihood per order). The least likelihood is 1/N, so the number of steps grows
+with log2(N) and the histogram's size is bounded by BUCKETS * (steps + 1) ** order.
 
 Defined results: NULL counts as the empty text, whose only token is its end. An
 empty table gives an empty table. Without training documents all counts are 0,
@@ -25,6 +25,7 @@ read.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -42,7 +43,7 @@ ORDER = 2
 HELD_OUT = (7, 2)                # crc32 of the id modulo 7 is 2: never learned from
 FOLD = (7, 3)                    # the deleted fold, on whose counts EM runs
 BUCKETS = 40                     # context frequency 0, then one bucket per power of two
-STEPS, STEP_BITS = 96, 0.25      # likelihood quantisation: a quarter of a bit, down to 2**-24
+STEP_BITS = 0.25                 # likelihood quantisation: a quarter of a bit, down to 1/N
 EM_ROUNDS = 60
 PRIOR_EVENTS = 50.0              # a bucket's weights start from the overall ones with this many events
 LEAST_WEIGHT = 1e-6
@@ -176,9 +177,15 @@ def corpus_sums(counts: DataFrame) -> np.ndarray:
     return np.array([v or 0.0 for v in rows.agg(*[F.sum(c) for c in "abcde"]).first()])
 
 
+def quantisation_steps(tokens: float) -> int:
+    """Steps that hold every estimate from 1 down to 1 / tokens."""
+    return math.ceil(math.log2(max(tokens, 1.0)) / STEP_BITS) + 1
+
+
 def learn_weights(counts: DataFrame, sums: np.ndarray, order: int = ORDER) -> np.ndarray:
     """Mixture weights (BUCKETS, order + 1) by EM on the deleted fold; the last column is the uniform estimate's."""
     n_all, vocabulary, n_fold, starts, starts_fold = sums
+    steps = quantisation_steps(n_all)
 
     def events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -189,8 +196,8 @@ def learn_weights(counts: DataFrame, sums: np.ndarray, order: int = ORDER) -> np
                 bucket, p = _estimates(kept, n_all - n_fold, starts - starts_fold)
                 code = bucket
                 for row in p:
-                    step = np.clip(np.round(-np.log2(np.maximum(row, 1e-30)) / STEP_BITS), 0, STEPS - 1).astype(np.int64)
-                    code = code * (STEPS + 1) + np.where(row > 0, step, STEPS)
+                    step = np.clip(np.round(-np.log2(np.maximum(row, 1e-30)) / STEP_BITS), 0, steps - 1).astype(np.int64)
+                    code = code * (steps + 1) + np.where(row > 0, step, steps)
                 codes.append(code)
             code, n = np.unique(np.concatenate(codes), return_counts=True) if codes else (np.empty(0, int),) * 2
             yield pa.RecordBatch.from_arrays([pa.array(code, pa.int64()), pa.array(n, pa.int64())], names=["code", "n"])
@@ -203,8 +210,8 @@ def learn_weights(counts: DataFrame, sums: np.ndarray, order: int = ORDER) -> np
     p = np.empty((order + 1, len(code)))
     p[order] = 1.0 / (vocabulary + 1)
     for i in reversed(range(order)):
-        code, step = np.divmod(code, STEPS + 1)
-        p[i] = np.where(step < STEPS, 2.0 ** (-STEP_BITS * step), 0.0)
+        code, step = np.divmod(code, steps + 1)
+        p[i] = np.where(step < steps, 2.0 ** (-STEP_BITS * step), 0.0)
     whole = _em(np.zeros(len(n), np.int64), 1, p, n, np.full((1, order + 1), 1.0 / (order + 1)), 0.0)
     return _em(code, BUCKETS, p, n, np.repeat(whole, BUCKETS, axis=0), PRIOR_EVENTS)
 

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from barwatch.llm import bpe, langid, lm, pii, toxicity
+from barwatch.llm import bpe, exchange, langid, lm, pii, toxicity
 from barwatch.llm.common import crc_mod
 from barwatch.llm.queries import QUERIES
 from tests.llm.helpers import SF, clashing, crc, documents, low, words
@@ -156,6 +156,26 @@ def test_registered_query_matches_brute_force_at_order_three(spark):
         assert got[i].score == pytest.approx(score, abs=1e-6)
 
 
+def test_weights_match_exact_em_beyond_sixteen_million_tokens(spark):
+    rng = np.random.default_rng(4)
+    sums = np.array([2.0 ** 34, 2.0 ** 28, 2.0 ** 31, 2.0 ** 20, 2.0 ** 17])
+    rows, buckets, likely = [], [], []
+    for _ in range(20):
+        one = np.where(rng.random(300) < 0.5, 1, 2 ** rng.integers(8, 28, 300))
+        two = np.where(rng.random(300) < 0.7, 0, np.minimum(one, np.concatenate([[2 ** 19], one[:-1]])) >> 2)
+        kept = np.stack([one, two])
+        rows.append((True, 300, exchange.planes(np.concatenate([*(kept + 1), *np.ones_like(kept)]).astype(np.uint64))))
+        bucket, p = lm._estimates(kept.astype(float), sums[0] - sums[2], sums[3] - sums[4])
+        buckets.append(bucket)
+        likely.append(np.vstack([p, np.full(300, 1 / (sums[1] + 1))]))
+    got = lm.learn_weights(spark.createDataFrame(rows, "fold boolean, n_tokens bigint, counts binary"), sums)
+    bucket, p = np.concatenate(buckets), np.concatenate(likely, axis=1)
+    n = np.ones(len(bucket))
+    whole = lm._em(np.zeros(len(n), np.int64), 1, p, n, np.full((1, 3), 1 / 3), 0.0)
+    want = lm._em(bucket, lm.BUCKETS, p, n, np.repeat(whole, lm.BUCKETS, axis=0), lm.PRIOR_EVENTS)
+    assert np.allclose(got, want, atol=0.03)
+
+
 def test_lm_empty_and_untrained(spark):
     assert lm.lm_scores(documents(spark, [])).count() == 0
     out = next(i for i in range(100) if crc(i, 7) == 2)
