@@ -9,8 +9,10 @@ the scaled features gives the score.
 
 The classifier is fitted on a bounded sample of labelled rows: the first
 ``SAMPLE`` rows of each label by a hash of the id (all of them, if fewer). Only
-ids and labels are broadcast, at most 2 * SAMPLE rows. Every document is scored
-whole.
+ids and labels are broadcast, at most 2 * SAMPLE rows. A sampled row stands for
+as many labelled rows as its label has for each one sampled, so the class
+balance of the fit is that of all labelled rows at any size. Every document is
+scored whole.
 
 Defined results: NULL counts as empty; an empty text has no feature and gets the
 score of the intercept. Without rows of both labels the score is the share of
@@ -84,6 +86,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     arrow_batch_rows(spark, 256)
     known = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label}`").cast("int").alias("y")) \
                   .filter(F.col("y").isin(0, 1) & (crc_mod(F.col("id"), 4) != 2))
+    total = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
+    stands_for = np.array([max(total.get(y, 0) / SAMPLE, 1.0) for y in (0, 1)])
     few = [known.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(SAMPLE) for y in (0, 1)]
     sample = materialize(F.broadcast(few[0].union(few[1])).join(
         docs.select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t")),
@@ -115,7 +119,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     n0, n1 = sums[:, :-1]
     ratio = np.log((n1 + 1) / (docs1 + 2)) - np.log((n0 + 1) / (docs0 + 2))
     seen = (n0 + n1 >= LEAST_DOCUMENTS) & (np.abs(ratio) >= LEAST_RATIO)
-    strength = np.where(seen, np.abs(ratio) * np.sqrt(n0 + n1), 0.0)
+    strength = np.where(seen, np.abs(ratio) * np.sqrt(n0 * stands_for[0] + n1 * stands_for[1]), 0.0)
     chosen = np.sort(np.argsort(-strength, kind="stable")[:min(FEATURES, int(seen.sum()))])
     used = np.zeros(1 << BITS, bool)
     used[chosen] = True
@@ -135,19 +139,22 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     ids = [np.frombuffer(b, np.int32) for b in rows["ids"]]
     owner = np.repeat(np.arange(len(ids)), [len(i) for i in ids])
     feature = np.searchsorted(chosen, np.concatenate([*ids, np.empty(0, np.int32)]).astype(np.int64))
-    w, b = _logistic(owner, feature, ratio[chosen], y)
+    w, b = _logistic(owner, feature, ratio[chosen], y, stands_for)
     weight = np.zeros(1 << BITS)
     weight[chosen] = w * ratio[chosen]
     return Classifier(weight, b)
 
 
-def _logistic(owner: np.ndarray, feature: np.ndarray, scale: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression over rows of scaled 0/1 features, by Adam on the full sample."""
+def _logistic(owner: np.ndarray, feature: np.ndarray, scale: np.ndarray, y: np.ndarray,
+              stands_for: np.ndarray) -> tuple[np.ndarray, float]:
+    """Ridge logistic regression over rows of scaled 0/1 features, by Adam on the
+    full sample; ``stands_for``: labelled rows for each row of label 0 and 1."""
     n = len(y)
     value = scale[feature]
-    row = np.where(y == 1, 1 + BALANCE * ((1 - y).sum() / y.sum() - 1), 1.0)
+    all0, all1 = (1 - y).sum() * stands_for[0], y.sum() * stands_for[1]
+    row = np.where(y == 1, stands_for[1] * (1 + BALANCE * (all0 / all1 - 1)), stands_for[0])
     row /= row.mean()
-    w, b = np.zeros(len(scale)), float(np.log(y.mean() / (1 - y.mean())))
+    w, b = np.zeros(len(scale)), float(np.log(all1 / all0))
     m, v = np.zeros(len(scale) + 1), np.zeros(len(scale) + 1)
     for t in range(1, ROUNDS + 1):
         z = np.bincount(owner, w[feature] * value, minlength=n) + b

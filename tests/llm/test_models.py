@@ -92,6 +92,27 @@ def test_toxicity_without_both_labels(spark):
     assert toxicity.score_toxicity(documents(spark, []), toxicity.Classifier(np.zeros(1 << 20), 0.0)).count() == 0
 
 
+def test_toxicity_scores_do_not_move_with_the_sample_rates(spark, monkeypatch):
+    rnd = random.Random(5)
+    rows = []
+    for i in range(3000):
+        toxic = i % 10 == 0
+        parts = [w for w, p0, p1 in (("zzbad", 0.02, 0.6), ("qqfine", 0.5, 0.05)) if rnd.random() < (p1 if toxic else p0)]
+        rows.append((i, " ".join(["the day", *parts]), int(toxic)))
+    docs, labels = documents(spark, [r[:2] for r in rows]), spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int")
+    texts = ["the day", "the day zzbad", "the day qqfine", "the day zzbad qqfine"]
+
+    def logits():
+        p = toxicity.fit_toxicity(docs, labels).score(texts)
+        return np.log(p / (1 - p))
+
+    monkeypatch.setattr(toxicity, "SAMPLE", 200)           # of about 225 toxic and 2025 other rows
+    capped = logits()
+    monkeypatch.setattr(toxicity, "SAMPLE", 4000)
+    whole = logits()
+    assert abs((capped - whole).mean()) < 0.3 and abs(capped[0] - whole[0]) < 0.4, (capped, whole)
+
+
 # --- 8: deleted interpolation --------------------------------------------------------
 
 def _tokens(text):
