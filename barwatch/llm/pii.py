@@ -1,17 +1,19 @@
 """Operator 10, personal data: fixed patterns and a skip-chain conditional random field.
 
 Four patterns give the base spans. On top, a skip-chain CRF labels the tokens
-that hold a digit or an "@" (all others are outside by construction and cut the
-chain): node potentials from the token's shape, chain potentials between
-neighbouring tokens, and skip potentials between tokens of a document that
-repeat each other or share a core (the same digits, the same mailbox name).
-Loopy sum-product message passing runs over all documents of a batch at once;
-a token far from any pattern can so take the label of the occurrence that a
-pattern confirms. Tokens whose marginal for a kind reaches ``ADD_FROM`` become
+that hold a digit or an "@" or equal the mailbox name of one that does (all
+others are outside by construction and cut the chain): node potentials from the
+token's shape, chain potentials between neighbouring tokens, and skip potentials
+between the tokens of a document that repeat each other or share a core (the
+same digits, the same mailbox name) and a hub that stands for them all. A hub
+has the kinds that the patterns give its tokens, and is free where they give
+none. Loopy sum-product message passing runs over all documents of a batch at
+once, each until its messages settle; a token far from any pattern can so take
+the label of the occurrence that a pattern confirms. Tokens whose marginal for a kind reaches ``ADD_FROM`` become
 added spans, never across a base span.
 
-Skip links join each occurrence to the one before it with the same core, so
-their number is linear in the tokens, whatever repeats.
+Every token has at most one link to a hub, so their number is linear in the
+tokens, whatever repeats, and any two of a hub's tokens are two hops apart.
 
 Training needs no labels from outside: the base spans of a bounded sample (the
 first ``SAMPLE`` documents by a hash of the id) are the labels, and the weights
@@ -49,11 +51,14 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 SAMPLE = 6000
 ADD_FROM = 0.9
-BP_ROUNDS, DAMPING = 10, 0.5
+SETTLED, DAMPING = 1e-6, 0.5      # messages that change less have settled
+MOST_ROUNDS = 2000               # for a document whose messages never settle
+NEVER = -30.0                    # log potential of a kind that a confirmed hub does not have
 SKIP_PRIOR = 3.5                 # skip weights are pulled towards this for equal labels
 TRAIN_ROUNDS, RIDGE, STEP = 300, 1e-3, 0.1
 
 _MARK = re.compile(r"[0-9@]+")
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _BLANK = re.compile(r"[\x20\x09-\x0D]")
 _EDGE = ".,;:!?()[]{}<>\"'*#$%&|-"
 
@@ -121,7 +126,8 @@ class Graph:
     end: list[int]
     shape: list[list[int]]       # feature numbers of each node
     chain: list[tuple[int, int]]
-    skip: list[tuple[int, int]]
+    skip: list[tuple[int, int]]  # (node, hub)
+    hubs: int = 0
 
 
 SHAPES = ["bias", "at", "at_dot", "letters", "plus", "parens", "dash", "dots3", "parts_ok", "digits_only", "luhn", "edge",
@@ -179,24 +185,44 @@ def _cores(core: str) -> list[str]:
     return keys
 
 
+def _marked(text: str) -> list[tuple[int, int, bool]]:
+    """(begin, stop, holds a mark) of the tokens that become nodes."""
+    out, names, done = [], set(), 0
+    for m in _MARK.finditer(text):
+        if m.start() < done:
+            continue
+        begin = max(done, max(text.rfind(c, done, m.start()) for c in " \t\n\x0b\x0c\r") + 1)
+        stop = _BLANK.search(text, m.end())
+        done = stop.start() if stop else len(text)
+        out.append((begin, done, True))
+        core = text[begin:done].strip(_EDGE).lower()
+        if "@" in core:
+            names.update(k[1:] for k in _cores(core) if k[0] == "@")
+    if names:
+        out += [(m.start(), m.end(), False) for m in _WORD.finditer(text)
+                if m[0].strip(_EDGE).lower() in names and not _MARK.search(m[0])]
+    return sorted(out)
+
+
 def build_graph(texts: list[str]) -> Graph:
     g = Graph([], [], [], [], [], [])
     for i, text in enumerate(texts):
-        last: dict[str, int] = {}
+        first, up = {}, {}                                  # first node of a key; a node's parent in its class
         done, before = 0, -2
-        for m in _MARK.finditer(text):
-            if m.start() < done:
-                continue
-            begin = max(done, max(text.rfind(c, done, m.start()) for c in " \t\n\x0b\x0c\r") + 1)
-            stop = _BLANK.search(text, m.end())
-            stop = stop.start() if stop else len(text)
+
+        def root(n: int) -> int:
+            while up[n] != n:
+                up[n] = n = up[up[n]]
+            return n
+
+        for begin, stop, mark in _marked(text):
             raw = text[begin:stop]
             core = raw.strip(_EDGE)
             node = len(g.owner)
             # "(988)" keeps its parentheses as shape; the core is what can become a span.
             shape = _shape(core) + ([_F["parens"]] if "(" in raw or ")" in raw else []) + ([_F["edge"]] if raw != core else [])
             lead = len(raw) - len(raw.lstrip(_EDGE))
-            neighbour = begin - done <= 1 and before == node - 1 and node and g.owner[-1] == i
+            neighbour = mark and begin - done <= 1 and before == node - 1 and node and g.owner[-1] == i
             g.owner.append(i)
             g.start.append(begin + lead)
             g.end.append(begin + lead + len(core))
@@ -209,16 +235,30 @@ def build_graph(texts: list[str]) -> Graph:
                 if _F["parens"] in shape:
                     g.shape[node - 1].append(_F["after_parens"])
             g.shape.append(shape)
-            joined = set()
+            up[node] = node
             for key in _cores(core):
-                if key in last and last[key] not in joined:
-                    joined.add(last[key])
-                    g.skip.append((last[key], node))
-                last[key] = node
-            done, before = stop, node
+                up[root(node)] = root(first.setdefault(key, node))
+            if mark:
+                done, before = stop, node
+        classes: dict[int, list[int]] = {}
+        for n in up:
+            classes.setdefault(root(n), []).append(n)
+        for members in classes.values():
+            if len(members) > 1:
+                g.skip += [(n, g.hubs) for n in members]
+                g.hubs += 1
     return g
 
 
+def _hub_kinds(g: Graph, label: np.ndarray, labels: int) -> np.ndarray:
+    """How many nodes of each hub the patterns give each label; outside is not counted."""
+    out = np.zeros((g.hubs, labels))
+    for n, h in g.skip:
+        if label[n]:
+            out[h, label[n]] += 1
+    return out
+
+
 @dataclass
 class SkipChainCRF:
     node: np.ndarray             # (shapes, labels); label 0 is outside
@@ -232,29 +272,49 @@ class SkipChainCRF:
         np.add.at(out, row, self.node[flat])
         return out
 
-    def marginals(self, g: Graph) -> np.ndarray:
-        """Loopy sum-product, all documents at once; log messages, damped."""
+    def marginals(self, g: Graph, label: np.ndarray | None = None) -> np.ndarray:
+        """Loopy sum-product, all documents at once; log messages, damped.
+        ``label``: what the patterns give each node, 0 where they give nothing."""
         unary = self.potentials(g)
         if not g.chain and not g.skip:
             return _softmax(unary)
-        a, b = np.array([*g.chain, *g.skip], np.int64).T
-        kind = np.repeat([0, 1], [len(g.chain), len(g.skip)])
-        pair = np.stack([self.chain, self.skip])[kind]
+        nodes, labels = unary.shape
+        kinds = _hub_kinds(g, np.zeros(nodes, np.int64) if label is None else label, labels)
+        free = ~kinds.any(axis=1)
+        share = kinds / np.maximum(kinds.sum(axis=1, keepdims=True), 1)
+        hub = np.where(free[:, None], 0.0, np.log(np.maximum(share, np.exp(NEVER))))
+        unary = np.concatenate([unary, hub])
+        a, b = np.array([*g.chain, *[(n, nodes + h) for n, h in g.skip]], np.int64).T
+        kind = np.array([*[0] * len(g.chain), *[1 + int(free[h]) for _, h in g.skip]], np.int64)
+        pair = np.stack([self.chain, self.skip, _half(self.skip)])[kind]
         src, dst = np.concatenate([a, b]), np.concatenate([b, a])
         pair = np.concatenate([pair, pair.transpose(0, 2, 1)])
         back = np.concatenate([np.arange(len(a)) + len(a), np.arange(len(a))])
-        msg = np.zeros((len(src), unary.shape[1]))
-        for _ in range(BP_ROUNDS):
+        doc = np.tile(np.array(g.owner)[a], 2)
+        msg = np.zeros((len(src), labels))
+        at = np.arange(len(src))                            # messages of documents that have not settled
+        for _ in range(MOST_ROUNDS):
             belief = unary.copy()
-            np.add.at(belief, dst, msg)
-            out = (belief[src] - msg[back])[:, :, None] + pair
+            np.add.at(belief, dst[at], msg[at])
+            out = (belief[src[at]] - msg[back[at]])[:, :, None] + pair[at]
             top = out.max(axis=1, keepdims=True)
             new = np.log(np.exp(out - top).sum(axis=1)) + top[:, 0]
             new -= new.max(axis=1, keepdims=True)
-            msg = DAMPING * msg + (1 - DAMPING) * new
+            moves = np.zeros(doc.max() + 1, bool)
+            moves[doc[at[np.abs(new - msg[at]).max(axis=1) > SETTLED]]] = True
+            msg[at] = DAMPING * msg[at] + (1 - DAMPING) * new
+            at = at[moves[doc[at]]]
+            if not len(at):
+                break
         belief = unary.copy()
         np.add.at(belief, dst, msg)
-        return _softmax(belief)
+        return _softmax(belief[:nodes])
+
+
+def _half(pair: np.ndarray) -> np.ndarray:
+    """Potentials that over two hops make ``pair``: two tokens of a free hub are as close as with a link of their own."""
+    value, vector = np.linalg.eigh(np.exp(pair - pair.max()))
+    return np.log(np.maximum((vector * np.sqrt(np.maximum(value, 0.0))) @ vector.T, 1e-12))
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -288,8 +348,10 @@ def fit_crf(texts: list[str]) -> SkipChainCRF:
         none[_F["bias"], 0] = 5.0
         return SkipChainCRF(none, np.zeros((labels, labels)), prior)
     linked = np.zeros(n, bool)                              # a token that has a word from others is also shown masked
-    for a, b in [*g.chain, *g.skip]:
+    for a, b in g.chain:
         linked[a] = linked[b] = True
+    for a, _ in g.skip:
+        linked[a] = True
     shown = [*g.shape, *[COARSE[:1] + [f for f in COARSE[1:] if f in s] for s, h in zip(g.shape, linked) if h]]
     node_of = np.concatenate([np.arange(n), np.flatnonzero(linked)])
     x = np.zeros((len(shown), len(SHAPES)))
@@ -300,9 +362,10 @@ def fit_crf(texts: list[str]) -> SkipChainCRF:
     for a, b in g.chain:
         left[b] += one[a]
         right[a] += one[b]
-    for a, b in g.skip:
-        near[b] += one[a]
-        near[a] += one[b]
+    kinds = _hub_kinds(g, y, labels)
+    for a, h in g.skip:
+        others = kinds[h] - (one[a] if y[a] else 0)         # a hub's kinds without the node's own
+        near[a] = others / others.sum() if others.any() else np.eye(labels)[0]
     left, right, near, target = left[node_of], right[node_of], near[node_of], one[node_of]
     theta = [np.zeros((len(SHAPES), labels)), np.zeros((labels, labels)), prior.copy()]
     m, v = [0.0 * t for t in theta], [0.0 * t for t in theta]
@@ -325,9 +388,10 @@ def all_spans(crf: SkipChainCRF, texts: list[str]) -> list[tuple[list[Span], lis
     g = build_graph(texts)
     if not g.owner:
         return [(b, b) for b in base]
-    p = crf.marginals(g)
+    gold = _gold(g, base)
+    p = crf.marginals(g, gold)
     label = p.argmax(axis=1)
-    sure = (label > 0) & (p[np.arange(len(p)), label] >= ADD_FROM) & (_gold(g, base) == 0)
+    sure = (label > 0) & (p[np.arange(len(p)), label] >= ADD_FROM) & (gold == 0)
     added: dict[int, list[Span]] = {}
     chained = {b for _, b in g.chain}
     for n in np.flatnonzero(sure).tolist():

@@ -287,6 +287,28 @@ def test_skip_links_carry_labels(spark):
     assert all(a == b == [] for a, b in pii.all_spans(crf, clean))
 
 
+def test_every_repeat_of_a_confirmed_token_is_marked(spark):
+    crf = pii.learn_pii(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    for name in ("bob.smith.77", "bob.smith"):
+        repeats = f"then {name} wrote to us, " * 50
+        for t in (f"mail {name}@mail.example.com now. {repeats}", f"{repeats} mail {name}@mail.example.com now."):
+            (base, every), = pii.all_spans(crf, [t])
+            assert len(base) == 1 and sum(t[s:e] == name for k, s, e in every if k == "email") == 50
+            assert "bob" not in pii.redact(t, every)
+    g = pii.build_graph(["x1234567 " * 60])
+    assert len(g.skip) == 60 and g.hubs == 1
+
+
+def test_two_tokens_of_a_free_hub_act_as_with_a_link_of_their_own():
+    g = pii.build_graph(["x1234567 and x1234567"])
+    rng = np.random.default_rng(6)
+    labels = len(pii.KINDS) + 1
+    crf = pii.SkipChainCRF(rng.normal(size=(len(pii.SHAPES), labels)), np.zeros((labels, labels)), 3.5 * np.eye(labels))
+    unary = crf.potentials(g)
+    both = np.exp(unary[0][:, None] + unary[1][None, :] + crf.skip)
+    assert np.allclose(crf.marginals(g), np.stack([both.sum(axis=1), both.sum(axis=0)]) / both.sum(), atol=1e-3)
+
+
 def test_pii_table_and_edges(spark):
     rows = [(1, None), (2, ""), (3, "x " * 9000 + "call +1 (988) 555-2485"), (3, "x " * 9000 + "call +1 (988) 555-2485"), (4, "é a@b.co")]
     crf = pii.learn_pii(documents(spark, rows))
