@@ -15,8 +15,10 @@ part in the component rounds.
 
 Defined results: a NULL url, or one without "://", has empty host and path; it
 fits no rule, takes part in no link and is allowed. NULL html has no links. A
-relative link that starts with one "/" stays on its host; other relative links
-and links without a host are ignored. Repeated rows and equal urls get equal
+link without a scheme is resolved against its page: "//host/path" names a host,
+"/path" stays on the page's host, any other starts from the folder of the page's
+path; "." and ".." segments of the last two are folded. Links to the page itself
+("", "?x", "#x") and links of schemes without a host are ignored. Repeated rows and equal urls get equal
 verdicts; an empty table gives an empty table. Result columns replace input
 columns of the same name.
 """
@@ -65,15 +67,28 @@ def best_rule(host: Column, path: Column, rules: list[tuple[str, str, str]]) ->
     return F.greatest(*found) if len(found) > 1 else found[0]
 
 
+def resolve(to: Column, host: Column, path: Column) -> Column:
+    """A link's target as a url with "://", or empty; ``host`` and ``path`` are its page's."""
+    own = F.regexp_extract(to, "^[^?#]*", 0)
+    folder = F.regexp_extract(path, "(?s)^.*/", 0)
+    folder = F.when(folder == "", "/").otherwise(folder)
+    parts = F.split(F.when(own.startswith("/"), own).otherwise(F.concat(folder, own)), "/")
+    kept = F.aggregate(F.slice(parts, 2, F.size(parts)), F.array().cast("array<string>"), lambda acc, s: F.when(s == ".", acc)
+                       .when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
+                       .otherwise(F.concat(acc, F.array(s))))
+    ended = F.element_at(parts, -1).isin(".", "..") & (F.size(kept) > 0)
+    local = F.concat(F.lit("://"), host, F.lit("/"), F.array_join(kept, "/"), F.when(ended, "/").otherwise(""))
+    return F.when(to.rlike("^([A-Za-z][A-Za-z0-9+.-]*)?://"), to).when(to.startswith("//"), F.concat(F.lit(":"), to)) \
+            .when(to.rlike("^[A-Za-z][A-Za-z0-9+.-]*:") | (own == ""), "").otherwise(local)
+
+
 def page_links(pages: DataFrame, html: str = "html") -> DataFrame:
     """(a, b): node of a page and node of each canonical or refresh target."""
     tags = lambda p: F.regexp_extract_all(F.col(f"`{html}`"), F.lit(p), F.lit(0))
     targets = F.concat(F.transform(tags(CANONICAL), lambda t: F.regexp_extract(t, HREF, 1)),
                        F.transform(tags(REFRESH), lambda t: F.regexp_extract(t, REFRESH_URL, 1)))
-    x = pages.select(F.col("_host"), F.col("_node").alias("a"), F.explode(targets).alias("to"))
-    to = F.when(F.col("to").startswith("/") & ~F.col("to").startswith("//"),
-                F.concat(F.lit("://"), F.col("_host"), F.col("to"))).otherwise(F.col("to"))
-    host, path = host_and_path(to)
+    x = pages.select(F.col("_host"), F.col("_path"), F.col("_node").alias("a"), F.explode(targets).alias("to"))
+    host, path = host_and_path(resolve(F.col("to"), F.col("_host"), F.col("_path")))
     x = x.select("a", "_host", host.alias("h"), path.alias("p")).filter((F.col("_host") != "") & (F.col("h") != ""))
     return x.select("a", F.concat("h", "p").alias("b"), F.col("h"), F.col("p"))
 

@@ -54,6 +54,22 @@ def test_blocks_reach_aliases_and_allows_stay(spark):
     assert got == {5: "block", 6: "block"}
 
 
+TARGETS = [
+    ("http://a.org/x/y", "//www.B.net/es/2?q", "www.b.net/es/2"), ("http://a.org/x/y", "page.html", "a.org/x/page.html"),
+    ("http://a.org/x/y", "./z", "a.org/x/z"), ("http://a.org/x/y/", "../z/", "a.org/x/z/"), ("http://a.org/x/y", "../../..", "a.org/"),
+    ("http://a.org", "p?u=http://b.net/", "a.org/p"), ("http://a.org/x/y/z", "..", "a.org/x/"), ("http://a.org/x", "/p/./q/../r", "a.org/p/r"),
+    ("http://a.org/x", "https://c.net/p/../q", "c.net/p/../q"), ("http://a.org/x", "mailto:p@b.net", None), ("http://a.org/x", "#top", None)]
+
+
+def test_link_targets_are_resolved(spark):
+    host, path = url_filter.host_and_path(F.col("url"))
+    for html in ('<link rel="canonical" href="{}">', '<meta http-equiv="refresh" content="0; url={}">'):
+        pages = _pages(spark, [(i, u, html.format(t)) for i, (u, t, _) in enumerate(TARGETS)])
+        links = url_filter.page_links(pages.withColumns({"_host": host, "_path": path, "_node": F.concat(host, path, F.lit(" "), "page_id")}))
+        got = {int(r.a.split(" ")[1]): r.b for r in links.collect()}
+        assert got == {i: node for i, (_, _, node) in enumerate(TARGETS) if node}
+
+
 def test_url_filter_empty_and_clashing(spark):
     assert url_filter.url_verdicts(_pages(spark, [])).count() == 0
     got = url_filter.url_verdicts(_pages(spark, [(1, "http://a.net/es/", None)] * 2).withColumn("Host", F.lit(3))).collect()
