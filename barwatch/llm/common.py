@@ -32,6 +32,23 @@ def replace_columns(df: DataFrame, **cols: Column) -> DataFrame:
                      *[c.alias(n) for n, c in cols.items()])
 
 
+def held(cols: list[str]) -> Column:
+    """Columns of the caller as one struct ``held``: an operator works beside it,
+    so none of its own column names can meet one of the caller's. A struct needs a
+    field, hence the first."""
+    return F.struct(F.lit(True).alias("any"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(cols)]).alias("held")
+
+
+def held_type(src: DataFrame) -> str:
+    """The ``held`` column as a field of a schema."""
+    return f"held {src.schema['held'].dataType.simpleString()}"
+
+
+def unheld(cols: list[str]) -> list[Column]:
+    """The caller's columns out of ``held``, under their own names."""
+    return [F.col(f"held.c{i}").alias(c) for i, c in enumerate(cols)]
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barwatch.llm import ngram_jaccard, quality, url_filter
+from barwatch.llm import fim, merkle, ngram_jaccard, quality, sharding, url_filter
 from barwatch.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +17,9 @@ SQL: dict[str, str] = {
     "op1_url_filter": url_filter.oracle_sql(),
     "op4_quality_rules": quality.oracle_sql(),
     "op6_ngram_jaccard": ngram_jaccard.oracle_sql(),
+    "op11_fill_in_middle": fim.oracle_sql(),
+    "op12_hash_tree_shards": sharding.oracle_sql(),
+    "op13_merkle_manifest": merkle.oracle_sql(),
 }
 
 
@@ -122,3 +125,40 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in packs of 2048 words; no pack holds a source or a text twice."""
     from barwatch.llm.packing import pack_documents
     return pack_documents(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut and put in fill-in-middle form, as digests, with the text rebuilt from it."""
+    from pyspark.sql import functions as F
+
+    out = fim.fill_in_middle(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("fim_text", 256).alias("output_sha256"),
+                      F.sha2(fim.restored_text(F.col("fim_text"), F.col("form")), 256).alias("restored_sha256"))
+
+
+@query
+def op12_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in one of 16 shards by its id, its slot there, and its shard among 17."""
+    from pyspark.sql import functions as F
+
+    placed = sharding.shard_slots(read_table(spark, sf_dir, "documents"), shards=16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and witness digest of every document; the root folded
+    from its leaf, tampered where 7 divides the crc32 of its id."""
+    from pyspark.sql import functions as F
+
+    from barwatch.llm.common import crc_mod
+    docs = read_table(spark, sf_dir, "documents")
+    leaf = merkle.row_digest("doc_id", "source", "lang", "n_chars", "text")
+    tampered = merkle.row_digest("doc_id", "source", "lang", F.col("n_chars").cast("long") + 1, "text")
+    leaves = docs.select("doc_id", "lang", leaf.alias("leaf"),
+                         F.when(crc_mod(F.col("doc_id"), 7) == 0, tampered).otherwise(leaf).alias("presented"))
+    m = merkle.merkle_manifest(leaves, group="lang", order=["doc_id"], leaf="leaf")
+    m = m.select("doc_id", "leaf", "subroot", "root", merkle.witness_digest(F.col("witness")).alias("proof_sha256"),
+                 merkle.folded(F.col("presented"), F.col("witness")).alias("folded_root"))
+    return m.withColumn("verified", F.col("folded_root") == F.col("root"))

@@ -1,5 +1,6 @@
 """Brute-force versions and fixtures for the llm tests."""
 
+import inspect
 import re
 import zlib
 
@@ -29,10 +30,32 @@ def documents(spark, rows) -> DataFrame:
     return spark.createDataFrame([(i, t, l, s, len(t or "")) for i, t, l, s in full], DOCS)
 
 
-def clashing(docs: DataFrame) -> DataFrame:
-    """The table with extra columns whose names the operators use themselves."""
-    return docs.withColumns({c: F.lit("x") for c in (
-        "kept", "score", "Spans", "chunk", "word", "n", "cls", "ids", "shard", "host", "cluster", "redacted", "id", "lang_pred")})
+def own_names(*modules) -> set[str]:
+    """Every column name that the modules write, alias or drop."""
+    src = "".join(inspect.getsource(m) for m in modules)
+    calls = re.findall(r"\.(?:alias|withColumn|withColumnRenamed|drop)\(([^)]*)", src)
+    calls += re.findall(r"(?:select|groupBy|toDF)\(([^)]*)", src)
+    return {n for c in calls for n in re.findall(r'f?"(\w+)"', c)}
+
+
+def clashing(docs: DataFrame, *modules) -> DataFrame:
+    """The table with extra columns whose names the operators use themselves: every
+    name that appears in the given modules, and some that results have."""
+    names = own_names(*modules) | {"kept", "score", "Spans", "chunk", "word", "n", "cls", "ids", "shard", "host", "cluster",
+                                   "redacted", "id", "lang_pred", "held", "__text"}
+    have = {c.lower() for c in docs.columns}
+    extra = {}
+    for c in sorted(names):
+        if c.lower() not in have and c.lower() not in {x.lower() for x in extra}:
+            extra[c] = F.lit("x " + c)
+    return docs.withColumns(extra)
+
+
+def unchanged(before: DataFrame, after: DataFrame, results: set[str]) -> bool:
+    """Whether every extra column that is no result came back with its value."""
+    rows = after.collect()
+    mine = [c for c in before.columns if c.lower() not in {r.lower() for r in results} and c not in ("doc_id", "text", "lang", "source", "n_chars")]
+    return len(rows) == before.count() and all(r[c] == "x " + c for r in rows for c in mine)
 
 
 def shingles(text, size=5):
