@@ -43,7 +43,7 @@ def zscore_given_params(df: DataFrame, features: list[str], params) -> DataFrame
     """``<f>_zscore`` from supplied (driver-side) mean/std literals."""
     out = df
     for f in features:
-        z = F.try_divide(F.col(f) - F.lit(params.mean(f)), F.lit(params.std(f)))
+        z = F.try_divide(F.col(f) - F.lit(params.mean(f)).cast("double"), F.lit(params.std(f)).cast("double"))
         out = out.withColumn(f"{f}_zscore", z)
     return out
 

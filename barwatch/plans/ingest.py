@@ -9,20 +9,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from barwatch.functions import features as fx
 from barwatch.functions import time as tm
+from barwatch.operators import detectors as dt
 from barwatch.operators import features as fe
 from barwatch.operators import sequence
 from barwatch.operators import stats as st
-from barwatch.operators.detectors import nearest_center
 from barwatch.plans import sql as q
-from barwatch.plans.batch import OHLCV, _CANDLE_SQL_OUT, bars, features, zscore_flags
+from barwatch.plans.batch import OHLCV, _CANDLE_SQL_OUT, bars, candles, features, zscore_flags
 from barwatch.plans.catalog import r9, register, rounded
 from barwatch.plans.streams import P, _stream_candles, candle_rows, land_messages
 from barwatch.session import materialize, scratch_path
 from barwatch.sources import files as fs
 from barwatch.sources import kline as kl
 from barwatch.sources import params as pm
-from barwatch.streaming import runner
+from barwatch.streaming import batches, models, runner
 
 _OHLCV_SQL = ", ".join(r9(f'"{c}"', c) for c in OHLCV)
 
@@ -69,12 +70,12 @@ def src_method_results(spark, sf_dir):
 
 @register("sink_csv_overwrite", sql=_RESULT_SQL)
 def sink_csv_overwrite(spark, sf_dir):
-    """CSV result sink with header, partitioned by symbol; written twice
-    in overwrite mode (idempotent) and read back."""
+    """CSV result sink with header, partitioned by symbol; written, then written
+    again for one symbol only, whose partition is replaced, and read back."""
     path = scratch_path(spark, "a9-csv")
-    res = _results(spark, sf_dir)
-    fs.write_results(res, path, fmt="csv")
+    res = materialize(_results(spark, sf_dir), "results")
     fs.write_results(res, path, fmt="csv")
+    fs.write_results(res.filter(F.col("symbol") == res.agg(F.min("symbol")).scalar()), path, fmt="csv")
     file_schema = fs.StructType([f for f in fs.RESULT_SCHEMA.fields if f.name != "symbol"])
     back = fs.read_results(spark, path, fmt="csv", schema=file_schema)   # symbol from the partition path
     return rounded(back.select("symbol", "timestamp", "close", "return", "anomaly"))
@@ -202,58 +203,79 @@ REALTIME_CENTERS = [[0.0, 0.0, 0.0], [2.0, 2.0, 2.0], [-2.0, -2.0, 2.0]]
 REALTIME_FEATURES = ["return", "log_return", "price_range"]
 
 
-def publish_realtime_model(spark, sf_dir, path: str) -> None:
-    """K9 for the stream: per-(symbol, interval) scaling statistics of the
-    realtime features and mean + 2 sigma of the distance to the nearest pinned
-    centre, all fitted on the candles and written as one small table."""
-    from barwatch.plans.batch import candles
-    series = ["symbol", "interval"]
-    c = materialize(candles(spark, sf_dir).select(*series, *REALTIME_FEATURES), "candles")
-    fitted = materialize(st.fit_stats(c, REALTIME_FEATURES, by=series), "realtime-stats")
-    scored = realtime_distance(st.keyed_join(c, fitted, series))
-    limits = st.threshold_mean_k_std(scored, "distance", 2.0, by=series).select(*series, "threshold")
-    st.keyed_join(fitted, limits, series).write.mode("overwrite").parquet(path)
-
-
-def realtime_distance(df):
-    """Cluster and distance of rows that carry mean_/std_ columns."""
-    z = F.array(*[F.try_divide(F.col(f) - F.col(f"mean_{f}"), F.col(f"std_{f}")) for f in REALTIME_FEATURES])
-    return nearest_center(df.withColumn("z", z), F.col("z"), REALTIME_CENTERS)
+_DZ = [f"z{i}" for i in range(len(REALTIME_FEATURES))]
+_D, _DI, _DB = dt.nearest_sql(_DZ, len(REALTIME_CENTERS))
+_DSTATS = ", ".join(f'avg("{f}") AS m{i}, stddev_samp("{f}") AS s{i}' for i, f in enumerate(REALTIME_FEATURES))
 
 
-def _distance_sql() -> str:
-    square = lambda c: " + ".join(f'(z_{f} - {v}) * (z_{f} - {v})' for f, v in zip(REALTIME_FEATURES, c))
-    d = [f"({square(c)})" for c in REALTIME_CENTERS]
-    nearest = f"least({', '.join(d)})"
-    index = " ".join(f"WHEN {x} = {nearest} THEN {i}" for i, x in enumerate(d))
-    return f"sqrt({nearest}) AS distance, CASE {index} END AS cluster"
+def _z_of(stats: str) -> str:
+    return ", ".join(f'("{f}" - {stats}.m{i}) / NULLIF({stats}.s{i}, 0) AS z{i}' for i, f in enumerate(REALTIME_FEATURES))
 
 
 @register("score_stream_with_model", sql=f"""WITH {q.candles_cte()},
-st AS (SELECT symbol, {', '.join(f'avg("{f}") AS m_{f}, stddev_samp("{f}") AS s_{f}' for f in REALTIME_FEATURES)}
-       FROM candles GROUP BY symbol),
-z AS (SELECT "timestamp", c.symbol, {', '.join(f'("{f}" - m_{f}) / NULLIF(s_{f}, 0) AS z_{f}' for f in REALTIME_FEATURES)}
-      FROM candles c JOIN st ON c.symbol = st.symbol),
-d AS (SELECT *, {_distance_sql()} FROM z),
-t AS (SELECT symbol, avg(distance) + 2 * stddev_samp(distance) AS threshold FROM d GROUP BY symbol)
-SELECT "timestamp", d.symbol, cluster, {r9('distance')}, CASE WHEN distance > threshold THEN 1 ELSE 0 END AS anomaly_kmeans
-FROM d JOIN t ON d.symbol = t.symbol""")
+st0 AS (SELECT {_DSTATS} FROM candles),
+sym AS (SELECT symbol, {_DSTATS} FROM candles WHERE symbol <> (SELECT max(symbol) FROM candles) GROUP BY symbol),
+zz AS (SELECT "timestamp", c.symbol, {_z_of('st0')} FROM candles c, st0),
+{dt.lloyd_sql('zz', _DZ, REALTIME_CENTERS, 20)},
+own AS (SELECT "timestamp", c.symbol, {', '.join(f'coalesce(sym.m{i}, st0.m{i}) AS m{i}, coalesce(sym.s{i}, st0.s{i}) AS s{i}' for i in range(len(_DZ)))},
+  {', '.join(f'"{f}"' for f in REALTIME_FEATURES)} FROM candles c CROSS JOIN st0 LEFT JOIN sym ON c.symbol = sym.symbol),
+oz AS (SELECT "timestamp", symbol, {_z_of('own')} FROM own),
+od AS (SELECT x.*, CAST({_DI} AS INTEGER) AS cluster, sqrt({_DB}) AS distance FROM (SELECT *, {_D} FROM oz, lc20) x),
+dd AS (SELECT sqrt({_DB}) AS distance FROM (SELECT *, {_D} FROM zz, lc20) x),
+lim AS (SELECT symbol, avg(distance) + 2 * stddev_samp(distance) AS threshold FROM od WHERE symbol IN (SELECT symbol FROM sym) GROUP BY symbol)
+SELECT "timestamp", od.symbol, cluster, {r9('distance')},
+  CASE WHEN distance > coalesce(threshold, (SELECT avg(distance) + 2 * stddev_samp(distance) FROM dd)) THEN 1 ELSE 0 END AS anomaly_kmeans
+FROM od LEFT JOIN lim ON od.symbol = lim.symbol""")
 def score_stream_with_model(spark, sf_dir):
-    """K9 -> K10: batch publishes scaling statistics and a threshold per series,
-    the stream joins what was published and scores every candle with it."""
+    """K9 -> K10: a batch job fits centres on the candles and publishes them with each
+    series' statistics and threshold, but for one series; the stream loads what is
+    published at every micro-batch and scores every candle with it, the series
+    without statistics by the default row."""
     model, src, sink, ckpt = (scratch_path(spark, n) for n in ("k10-model", "k10-src", "k10-sink", "k10-ckpt"))
-    publish_realtime_model(spark, sf_dir, model)
+    c = materialize(candles(spark, sf_dir).select("symbol", "interval", *REALTIME_FEATURES), "candles")
+    known = c.filter(F.col("symbol") != c.agg(F.max("symbol")).scalar()).select("symbol", "interval").distinct()
+    models.publish_centers(c, model, REALTIME_FEATURES, REALTIME_CENTERS, only=known)
     land_messages(kl.candle_messages(candle_rows(spark, sf_dir)), src)
-    from barwatch.functions import features as fx
-    s = (_stream_candles(spark, src).withColumn("return", fx.return_intrabar())
-         .withColumn("log_return", fx.log_return_intrabar()).withColumn("price_range", fx.price_range_low()))
-    published = spark.read.parquet(model).drop("n")
-    scored = realtime_distance(st.keyed_join(s, published, ["symbol", "interval"], "inner"))
-    scored = scored.withColumn("anomaly_kmeans", F.when(F.col("distance") > F.col("threshold"), 1).otherwise(0))
-    out = scored.select(F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "symbol", "cluster",
-                        "distance", "anomaly_kmeans")
-    runner.run_until_done(runner.start_file_sink(out, sink, ckpt))
-    return rounded(spark.read.parquet(sink))
+
+    def scored(batch):
+        x = (batch.withColumn("return", fx.return_intrabar()).withColumn("log_return", fx.log_return_intrabar())
+             .withColumn("price_range", fx.price_range_low()))
+        return models.distance_scored(x, model, REALTIME_FEATURES).select(
+            F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "symbol", "cluster", "distance", "anomaly_kmeans")
+
+    runner.run_until_done(batches.start_scored_sink(_stream_candles(spark, src), sink, ckpt, scored))
+    return rounded(batches.landed(spark, sink, fs.StructType.fromDDL(
+        "timestamp timestamp_ntz, symbol string, cluster int, distance double, anomaly_kmeans int")))
+
+
+@register("dead_letter_stream", sql=f"""{_CANDLE_SQL}
+SELECT 'good' AS sink, symbol, close_time, CAST(NULL AS VARCHAR) AS reason, count(*) AS "rows" FROM c GROUP BY ALL
+UNION ALL SELECT 'dead', symbol, close_time, r.reason, count(*) FROM c,
+  (VALUES (0, 'no JSON'), (1, 'no symbol'), (2, 'no close time')) r(k, reason)
+WHERE (close_time + 1) // 600000 % 3 = r.k GROUP BY ALL""")
+def dead_letter_stream(spark, sf_dir):
+    """A5 with a dead letter: every candle's message and a broken copy of it (cut off,
+    without symbol, or without close time) over three runs. What decodes goes to
+    one sink, the rest to the other with its raw text and the reason."""
+    src, good, dead, ckpt = (scratch_path(spark, n) for n in ("a5-src", "a5-good", "a5-dead", "a5-ckpt"))
+    rows = materialize(candle_rows(spark, sf_dir), "candles")
+    kind = F.floor((F.col("close_time") + 1) / 600000) % 3
+    mark = F.concat_ws("/", "symbol", F.col("close_time").cast("string"))                    # lets the check find the candle again
+    whole = kl.candle_messages(rows.withColumn("received_at", mark), received_at=mark)
+    broken = rows.select(F.when(kind == 0, F.concat(F.lit('{"cut": "'), mark, F.lit('"'))).otherwise(F.to_json(F.struct(
+        F.when(kind == 2, F.col("symbol")).alias("symbol"), F.when(kind == 1, F.col("close_time")).alias("close_time"),
+        mark.alias("cut")))).alias("value"))
+    parts = whole.select("value").union(broken).withColumn("part", F.pmod(F.crc32(F.col("value").cast("binary")), F.lit(3)))
+    parts = materialize(parts, "messages")
+    for i in range(3):
+        land_messages(parts.filter(F.col("part") == i), src)
+        runner.run_until_done(batches.start_candles_with_dead_letter(runner.candle_stream(spark, src), good, dead, ckpt))
+    g = batches.landed(spark, good, fs.StructType.fromDDL("symbol string, close_time long")).withColumn("reason", F.lit(None).cast("string"))
+    d = batches.landed(spark, dead, fs.StructType.fromDDL("raw string, reason string"))
+    cut = F.split(F.regexp_extract("raw", '"cut": ?"([^"]*)"', 1), "/")
+    d = d.select(cut[0].alias("symbol"), cut[1].cast("long").alias("close_time"), "reason")
+    both = g.select(F.lit("good").alias("sink"), "*").unionByName(d.select(F.lit("dead").alias("sink"), "*"))
+    return both.groupBy("sink", "symbol", "close_time", "reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @register("load_model_params", sql=f"""WITH {q.candles_cte()},
@@ -264,7 +286,6 @@ def load_model_params(spark, sf_dir):
     """Statistics of the candles published as one JSON document, loaded from
     the first path that exists and used as pinned parameters."""
     from barwatch.operators import scoring
-    from barwatch.plans.batch import candles
     path = scratch_path(spark, "a12-params")
     c = materialize(candles(spark, sf_dir).select("symbol", "timestamp", *REALTIME_FEATURES), "candles")
     stats = st.fit_stats(c, REALTIME_FEATURES, by=[])

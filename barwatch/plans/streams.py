@@ -9,8 +9,12 @@ checkpoint folder, and return what the sink committed.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from barwatch.functions import features as fx
 from barwatch.functions import flags as fl
@@ -23,7 +27,7 @@ from barwatch.plans.catalog import r9, register, rounded
 from barwatch.session import materialize, scratch_path
 from barwatch.sources import params as pm
 from barwatch.sources.kline import candle_messages
-from barwatch.streaming import runner
+from barwatch.streaming import batches, models, runner
 from barwatch.streaming import windows as wn
 
 P = pm.Params()
@@ -97,7 +101,7 @@ def window_stats_batch(spark, sf_dir) -> DataFrame:
 
 
 def window_detected_batch(spark, sf_dir) -> DataFrame:
-    return wn.window_output(wn.window_detector(window_stats_batch(spark, sf_dir), P))
+    return wn.window_output(wn.window_detector(window_stats_batch(spark, sf_dir), P, volume_rule="compat"))
 
 
 @register("sliding_window_stats", sql=f"""{_WSTATS_SQL}
@@ -114,12 +118,26 @@ def window_detector(spark, sf_dir):
     return rounded(window_detected_batch(spark, sf_dir))
 
 
+_RULES = ["window_start", "symbol", "volatility_anomaly", "range_anomaly", "volume_anomaly"]
+
+
 @register("window_threshold_flags", sql=f"""{_WSTATS_SQL}
-SELECT window_start, symbol, volatility_anomaly, range_anomaly, volume_anomaly FROM wdet""")
+SELECT window_start, symbol, volatility_anomaly, range_anomaly,
+  CASE WHEN avg_volume > (SELECT avg(volume) + 2.0 * stddev_samp(volume) FROM candles) THEN 1 ELSE 0 END AS volume_anomaly FROM wdet""")
 def window_threshold_flags(spark, sf_dir):
-    """Volatility / range / volume rules per window."""
-    return window_detected_batch(spark, sf_dir).select("window_start", "symbol", "volatility_anomaly",
-                                                       "range_anomaly", "volume_anomaly")
+    """Volatility / range / volume rules per window; a volume is judged by the
+    mean and std of volumes, fitted on the candles."""
+    from barwatch.operators import stats as st
+    row = st.fit_stats(candles(spark, sf_dir), ["volume"], by=[]).first()                # one row
+    params = replace(P, stats=P.stats | {"volume": {"mean": row["mean_volume"], "std": row["std_volume"]}})
+    return wn.window_output(wn.window_detector(window_stats_batch(spark, sf_dir), params)).select(*_RULES)
+
+
+@register("window_threshold_flags_compat", sql=f"""{_WSTATS_SQL}
+SELECT window_start, symbol, volatility_anomaly, range_anomaly, volume_anomaly FROM wdet""")
+def window_threshold_flags_compat(spark, sf_dir):
+    """B13 with the original volume rule, which compares a volume with percent statistics."""
+    return window_detected_batch(spark, sf_dir).select(*_RULES)
 
 
 @register("confidence_band", sql=f"""{_WSTATS_SQL}
@@ -247,31 +265,61 @@ def watermark_append(spark, sf_dir):
 @register("window_update_mode", sql=f"""{_WSTATS_SQL}
 SELECT {_STATS_SEL} FROM wstats""")
 def window_update_mode(spark, sf_dir):
-    """The same stream in update mode over three batches; landing every
-    update with its batch id and keeping the newest per window gives the full,
-    unclosed result."""
+    """The same stream in update mode over five runs, landed as a change log that
+    is compacted every other batch; the current row of every window gives the
+    full, unclosed result."""
     src, sink, ckpt = (scratch_path(spark, n) for n in ("i3-src", "i3-sink", "i3-ckpt"))
-    land_in_turn(materialize(candle_rows(spark, sf_dir), "candles"), src, 3, lambda: runner.run_until_done(
-        runner.start_update_merge(_stats_out(_window_stream(_stream_candles(spark, src))), sink, ckpt)))
-    return rounded(runner.latest_per_key(spark.read.parquet(sink), ["window_start", "symbol"]))
+    keys = ["window_start", "symbol"]
+    stream = lambda: _stats_out(_window_stream(_stream_candles(spark, src)))
+    land_in_turn(materialize(candle_rows(spark, sf_dir), "candles"), src, 5, lambda: runner.run_until_done(
+        batches.start_update_log(stream(), sink, ckpt, keys, compact_every=2)))
+    return rounded(batches.latest(spark, sink, keys, stream().schema))
+
+
+def run_with_late_rows(spark, sf_dir):
+    """All candles through the append-mode window stream, then the first tenth of the
+    time span again with doubled prices; (sink, rows dropped behind the watermark)."""
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("i4-src", "i4-sink", "i4-ckpt"))
+    rows = materialize(candle_rows(spark, sf_dir), "candles")
+    land_messages(candle_messages(rows), src)
+    stream = lambda: runner.start_file_sink(_stats_out(_window_stream(_stream_candles(spark, src))), sink, ckpt)
+    runner.run_until_done(stream())
+    cuts = time_cuts(rows, 10)
+    first = rows.filter(F.col("close_time") < F.lit(cuts[0] if cuts else 0))
+    land_messages(candle_messages(first.withColumns({c: F.col(c) * 2 for c in ("open", "high", "low", "close")})), src)
+    query = stream()
+    runner.run_until_done(query)
+    return sink, runner.rows_dropped_late(query)
 
 
 @register("late_rows_dropped", sql=f"""{_WSTATS_SQL}
 SELECT {_STATS_SEL} FROM wstats WHERE window_end <= (SELECT max("timestamp") FROM candles) - INTERVAL 10 minutes""")
 def late_rows_dropped(spark, sf_dir):
-    """I4: after all candles, re-send the first tenth of the time span with
-    doubled prices; it is behind the watermark, so no emitted window changes."""
-    src, sink, ckpt = (scratch_path(spark, n) for n in ("i4-src", "i4-sink", "i4-ckpt"))
+    """I4: rows re-sent behind the watermark change no emitted window; the stream's
+    progress counts what it dropped (``run_with_late_rows``)."""
+    sink, _ = run_with_late_rows(spark, sf_dir)
+    return rounded(spark.read.parquet(sink))
+
+
+@register("dedupe_stream", sql=f"""WITH {q.candles_cte()}
+SELECT symbol, "timestamp", {r9('close')} FROM candles""")
+def dedupe_stream(spark, sf_dir):
+    """D10 on a stream: candles landed in four runs, each run also re-sending the run
+    before with doubled prices; the first row of each (symbol, close time) stays."""
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("d10-src", "d10-sink", "d10-ckpt"))
     rows = materialize(candle_rows(spark, sf_dir), "candles")
-    land_messages(candle_messages(rows), src)
-    stream = lambda: _stats_out(_window_stream(_stream_candles(spark, src)))
-    runner.run_until_done(runner.start_file_sink(stream(), sink, ckpt))
-    first = rows.filter(F.col("close_time") < F.lit(time_cuts(rows, 10)[0]))
-    for c in ("open", "high", "low", "close"):
-        first = first.withColumn(c, F.col(c) * 2)
-    late = candle_messages(first)
-    land_messages(late, src)
-    runner.run_until_done(runner.start_file_sink(stream(), sink, ckpt))
+    bounds = [None, *time_cuts(rows, 4), None]
+    again = None
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        part = rows if lo is None else rows.filter(F.col("close_time") >= lo)
+        part = part if hi is None else part.filter(F.col("close_time") < hi)
+        land_messages(candle_messages(part), src)
+        if again is not None:
+            land_messages(candle_messages(again.withColumn("close", F.col("close") * 2)), src)
+        once = runner.first_seen(_stream_candles(spark, src), ["symbol", "timestamp"], "timestamp", "40 days")
+        runner.run_until_done(runner.start_file_sink(
+            once.select("symbol", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "close"), sink, ckpt))
+        again = part
     return rounded(spark.read.parquet(sink))
 
 
@@ -291,7 +339,7 @@ def window_stream_detector(spark, sf_dir):
     """Window rules on the watermarked stream, closed windows appended."""
     src, sink, ckpt = (scratch_path(spark, n) for n in ("i6-src", "i6-sink", "i6-ckpt"))
     land_messages(candle_message_rows(spark, sf_dir), src)
-    det = wn.window_output(wn.window_detector(_window_stream(_stream_candles(spark, src)), P))
+    det = wn.window_output(wn.window_detector(_window_stream(_stream_candles(spark, src)), P, volume_rule="compat"))
     runner.run_until_done(runner.start_file_sink(det, sink, ckpt))
     return rounded(spark.read.parquet(sink))
 
@@ -309,7 +357,7 @@ def dual_stream_run(spark, sf_dir):
     land_messages(candle_message_rows(spark, sf_dir), src)
     c_sink, c_ckpt, w_sink, w_ckpt = (scratch_path(spark, n) for n in ("i7-c", "i7-cc", "i7-w", "i7-wc"))
     qc = runner.start_file_sink(_score_candles(_stream_candles(spark, src)), c_sink, c_ckpt, fmt="parquet")
-    det = wn.window_output(wn.window_detector(_window_stream(_stream_candles(spark, src)), P))
+    det = wn.window_output(wn.window_detector(_window_stream(_stream_candles(spark, src)), P, volume_rule="compat"))
     qw = runner.start_file_sink(det, w_sink, w_ckpt, fmt="csv")
     runner.run_until_done(qc, qw)
     c = spark.read.parquet(c_sink)
@@ -319,17 +367,69 @@ def dual_stream_run(spark, sf_dir):
         w.select(F.lit("window"), "symbol", "window_end", F.col("total_votes").cast("int"), "is_anomaly"))
 
 
+class Unavailable(Exception):
+    """A sink that is down."""
+
+
 @register("checkpoint_resume", sql=f"""WITH {q.candles_cte()}, {q.candle_detector_cte(P)}
 SELECT {_CANDLE_SQL_OUT} FROM scored""")
 def checkpoint_resume(spark, sf_dir):
-    """I8: run on the first half of the messages, stop, land the rest, restart
-    on the same checkpoint — every candle exactly once in the sink."""
+    """I8: first half of the messages; an idle restart; the second half, with a sink
+    that fails after it has written its rows and before the batch is committed; a
+    restart on the same checkpoint. Every candle is in the sink exactly once."""
     src, sink, ckpt = (scratch_path(spark, n) for n in ("i8-src", "i8-sink", "i8-ckpt"))
     rows = materialize(candle_rows(spark, sf_dir), "candles")
-    cut = F.lit(time_cuts(rows, 2)[0])
+    cuts = time_cuts(rows, 2)
+    cut = F.lit(cuts[0] if cuts else 0)
+    down = []
+
+    def work(batch: DataFrame, i: int) -> None:
+        batches.land(batch, sink, i)
+        if down and down.pop():
+            raise Unavailable("after the rows were written")
+
+    def run() -> None:
+        runner.run_until_done(batches.start_batches(_score_candles(_stream_candles(spark, src)), ckpt, work))
+
     land_messages(candle_messages(rows.filter(F.col("close_time") < cut)), src)
-    _run_candle_sink(spark, src, sink, ckpt)
-    _run_candle_sink(spark, src, sink, ckpt)          # idle restart: adds nothing
+    run()
+    run()                                             # idle restart: adds nothing
     land_messages(candle_messages(rows.filter(F.col("close_time") >= cut)), src)
-    _run_candle_sink(spark, src, sink, ckpt)
-    return rounded(spark.read.parquet(sink))
+    down.append(True)
+    try:
+        run()
+    except StreamingQueryException:
+        run()                                         # the failed batch runs again, into the same folder
+    return rounded(batches.landed(spark, sink, _score_candles(_stream_candles(spark, src)).schema))
+
+
+@register("lookup_params_stream", sql=f"""WITH {q.candles_cte()},
+cut AS (SELECT epoch_ms(min("timestamp")) + (epoch_ms(max("timestamp")) - epoch_ms(min("timestamp"))) // 2 AS ms FROM candles),
+fit AS (SELECT symbol, avg("return") AS m, stddev_samp("return") AS s FROM candles WHERE symbol <> (SELECT max(symbol) FROM candles) GROUP BY symbol)
+SELECT c.symbol, c."timestamp", CASE WHEN epoch_ms(c."timestamp") < cut.ms THEN {r9(f'(c."return" - {P.mean("return")}) / {P.std("return")}', 'x').rsplit(' AS', 1)[0]}
+  ELSE {r9(f'(c."return" - coalesce(fit.m, {P.mean("return")})) / NULLIF(coalesce(fit.s, {P.std("return")}), 0)', 'x').rsplit(' AS', 1)[0]} END AS return_zscore
+FROM candles c CROSS JOIN cut LEFT JOIN fit ON c.symbol = fit.symbol""")
+def lookup_params_stream(spark, sf_dir):
+    """C3 on a stream: only the default row is published at first; between two
+    batches each series' own statistics follow, but for one. The second batch
+    uses them, and the series that
+    has none keeps the default."""
+    src, sink, ckpt, root = (scratch_path(spark, n) for n in ("c3-src", "c3-sink", "c3-ckpt", "c3-params"))
+    rows = materialize(candle_rows(spark, sf_dir), "candles")
+    default = P.table(spark).filter(F.col("feature") == "return")
+    c = materialize(candles(spark, sf_dir).select("symbol", "return"), "candles")
+    fit = c.filter(F.col("symbol") != c.agg(F.max("symbol")).scalar()).groupBy("symbol").agg(
+        F.avg("return").alias("mean"), F.stddev_samp("return").alias("std"))
+    own = fit.select("symbol", F.lit(None).cast("string").alias("interval"), F.lit("return").alias("feature"), "mean", "std")
+    versions = iter([default, default.unionByName(own)])
+
+    def scored(batch: DataFrame) -> DataFrame:
+        x = models.zscored(batch.withColumn("return", fx.return_intrabar()), root, ["return"])
+        return x.select("symbol", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "return_zscore")
+
+    def run() -> None:
+        models.publish_params(next(versions), root)
+        runner.run_until_done(batches.start_scored_sink(_stream_candles(spark, src), sink, ckpt, scored))
+
+    land_in_turn(rows, src, 2, run)
+    return rounded(batches.landed(spark, sink, StructType.fromDDL("symbol string, timestamp timestamp_ntz, return_zscore double")))

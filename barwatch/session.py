@@ -22,10 +22,31 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "barwatch", extra: dict | None = None) -> SparkSession:
+# Stream state on the executors' disks instead of their heap; a batch uploads the
+# changes of its keys, not the whole state.
+ROCKSDB_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+STATE_STORES = {"memory": {}, "rocksdb": ROCKSDB_CONF}
+
+
+def use_state_store(spark: SparkSession, kind: str) -> None:
+    """Where streams that start from now on keep state: ``memory`` or ``rocksdb``. A
+    stream goes on with the kind that its checkpoint was begun with."""
+    for key, value in ROCKSDB_CONF.items():
+        if kind == "rocksdb":
+            spark.conf.set(key, value)
+        elif kind == "memory":
+            spark.conf.unset(key)
+        else:
+            raise ValueError(f"state store must be one of {sorted(STATE_STORES)}, not {kind!r}")
+
+
+def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app_name: str = "barwatch",
+                  extra: dict | None = None, state_store: str = "memory") -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
-    conf = dict(DEFAULT_CONF)
+    conf = DEFAULT_CONF | STATE_STORES[state_store]
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
@@ -80,5 +101,11 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, in any file system that Spark reads."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

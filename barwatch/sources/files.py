@@ -46,12 +46,16 @@ def read_results(spark: SparkSession, path: str, fmt: str = "parquet", schema: S
 
 
 def write_results(df: DataFrame, path: str, fmt: str = "parquet", partition_by=("symbol",),
-                  single_file: bool = False) -> None:
+                  single_file: bool = False, replace: str = "dynamic") -> None:
     """Overwrite a result directory, partitioned by symbol (partition
-    pruning for per-symbol reads). ``single_file`` is an opt-in export for
-    small results only: it funnels the rows through one task."""
+    pruning for per-symbol reads). By default only the partitions that ``df`` has
+    rows for are replaced, so a run for one symbol leaves the others' results;
+    ``replace="static"`` clears the directory first. ``single_file`` is an opt-in
+    export for small results only: it funnels the rows through one task."""
+    if replace not in ("dynamic", "static"):
+        raise ValueError(f"replace must be dynamic or static, not {replace!r}")
     out = df.coalesce(1) if single_file else df
-    w = out.write.mode("overwrite")
+    w = out.write.mode("overwrite").option("partitionOverwriteMode", replace if partition_by else "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":

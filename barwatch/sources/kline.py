@@ -80,30 +80,43 @@ def decode_candles(df: DataFrame, value_col: str = "value", keep_invalid: bool =
     return out.filter("_valid").drop("_valid", "_raw")
 
 
-def normalize_klines(df: DataFrame, value_col: str = "value", received_at: Column | None = None) -> DataFrame:
+def normalize_klines(df: DataFrame, value_col: str = "value", received_at: Column | None = None,
+                     keep_invalid: bool = False) -> DataFrame:
     """A6 + B15: exchange envelopes -> closed candle rows (M2 columns).
 
     Accepts the combined-stream form ``{stream, data: {...}}`` and the bare
     payload; keeps only ``e = 'kline'`` events whose candle is closed.
+
+    With ``keep_invalid`` every envelope comes back with its ``_raw`` text and a
+    ``_status``: ``candle`` (what is kept otherwise), ``ignored`` (another event, or
+    a candle still open) or ``invalid`` (no JSON, no event name, or a closed candle
+    without symbol or a close time), so that nothing vanishes uncounted.
     """
-    v = F.try_parse_json(_as_text(F.col(value_col)))
-    x = df.select(v.alias("_v"))
+    raw = _as_text(F.col(value_col))
+    x = df.select(F.try_parse_json(raw).alias("_v"), raw.alias("_raw"))
     payload = F.coalesce(F.try_variant_get("_v", "$.data", "variant"), F.col("_v"))
-    x = x.select(payload.alias("p"))
+    x = x.select(payload.alias("p"), "_raw")
     k = F.try_variant_get("p", "$.k", "variant")
     cols = [F.try_variant_get("p", "$.s", "string").alias("symbol")]
     for name, letter, typ in KLINE_FIELDS:
         cols.append(F.try_variant_get(k, f"$.{letter}", typ).alias(name))
     x = x.select(F.try_variant_get("p", "$.e", "string").alias("_e"),
-                 F.try_variant_get(k, "$.x", "boolean").alias("is_closed"), *cols)
-    x = x.filter((F.col("_e") == "kline") & F.coalesce(F.col("is_closed"), F.lit(False)))
+                 F.try_variant_get(k, "$.x", "boolean").alias("_x"), *cols, "_raw")
+    closed = F.coalesce((F.col("_e") == "kline") & F.col("_x"), F.lit(False))
+    if keep_invalid:
+        whole = F.col("symbol").isNotNull() & ms_to_ts(F.col("close_time")).isNotNull()
+        x = x.withColumn("_status", F.when(F.col("_e").isNull(), "invalid").when(~closed, "ignored")
+                         .when(whole, "candle").otherwise("invalid"))
+    else:
+        x = x.filter(closed)
     recv = received_at if received_at is not None else F.date_format(F.current_timestamp(),
                                                                      "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     return x.select(
         "symbol", "interval", "open_time", "close_time", ms_to_iso(F.col("open_time")).alias("datetime"),
         *[finite(c).alias(c) for c in [*PRICE_FIELDS, "quote_volume", "taker_buy_volume", "taker_buy_quote_volume"]],
         "trades",
-        F.lit(True).alias("is_closed"), recv.alias("received_at"))
+        (F.col("_x") if keep_invalid else F.lit(True)).alias("is_closed"), recv.alias("received_at"),
+        *(["_raw", "_status"] if keep_invalid else []))
 
 
 def klines_from_pages(df: DataFrame, page_col: str = "page", symbol_col: str = "symbol",

@@ -51,16 +51,21 @@ class Params:
     source: str | None = None
     raw: dict | None = None
 
-    def mean(self, feature: str) -> float:
-        return float(self.stats[feature]["mean"])
+    def mean(self, feature: str) -> float | None:
+        return self._statistic(feature, "mean")
 
-    def std(self, feature: str) -> float:
-        return float(self.stats[feature]["std"])
+    def std(self, feature: str) -> float | None:
+        return self._statistic(feature, "std")
+
+    def _statistic(self, feature: str, name: str) -> float | None:
+        """None where the fit saw no rows (JSON leaves NULL out): scores are then NULL."""
+        v = self.stats[feature].get(name)
+        return None if v is None else float(v)
 
     def table(self, spark: SparkSession, symbol: str | None = None, interval: str | None = None) -> DataFrame:
         """Flattened (symbol, interval, feature, mean, std); NULL symbol and
         interval mark the default row that applies to every series."""
-        rows = [(symbol, interval, f, float(v["mean"]), float(v["std"])) for f, v in sorted(self.stats.items())]
+        rows = [(symbol, interval, f, self.mean(f), self.std(f)) for f in sorted(self.stats)]
         return spark.createDataFrame(rows, PARAMS_SCHEMA)
 
 

@@ -9,6 +9,7 @@ with ``foreachBatch``.
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,6 +77,25 @@ def start_console_sink(df: DataFrame, checkpoint: str, trigger: dict | None = No
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def first_seen(df: DataFrame, keys: list[str], ts_col: str, watermark: str) -> DataFrame:
+    """D10 on a stream: the first row of each key to arrive; later ones go, in the same
+    batch or another, as long as the watermark has not passed the key's time. State
+    holds the keys of that span only."""
+    return df.withWatermark(ts_col, watermark).dropDuplicatesWithinWatermark(keys)
+
+
+def rows_dropped_late(query: StreamingQuery) -> int:
+    """Rows that stateful operators dropped behind the watermark, over the progress that
+    the query still holds. Aggregations count after partial aggregation: rows of
+    state they would have touched, not input rows."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
+def only_flagged(df: DataFrame, flag: str = "is_anomaly", only_anomalies: bool = False) -> DataFrame:
+    """Rows for an alert sink: all of them, or the flagged ones."""
+    return df.filter(F.coalesce(F.col(flag).cast("boolean"), F.lit(False))) if only_anomalies else df
+
+
 def start_update_merge(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Update-mode output landed per micro-batch with its batch id; read
     it back with :func:`latest_per_key` for the current value of each key."""
@@ -112,6 +132,20 @@ def write_candles_kafka(candles: DataFrame, topic: str, servers: str) -> None:
         .option("topic", topic).save()
 
 
+def run_live(*queries: StreamingQuery, stop: Callable[[], bool] = lambda: False, poll_s: float = 0.5) -> None:
+    """Wait for any of several long-running queries to end, as a job that serves
+    several sinks does; the others are then stopped, and a failure is raised.
+    ``stop()`` ends the job from outside, after the running micro-batches."""
+    try:
+        while not stop():
+            for qy in queries:
+                if qy.awaitTermination(poll_s / len(queries)):          # raises if the query failed
+                    return
+    finally:
+        for qy in queries:
+            qy.stop()
+
+
 def run_until_done(*queries: StreamingQuery, timeout_s: float | None = None, poll_s: float = 0.2) -> None:
     """Wait until all bounded (availableNow) queries have ended by themselves.
 

@@ -54,23 +54,24 @@ def sliding_window_stats(candles: DataFrame, ts_col: str = "timestamp", window:
                    F.max(ts_col).alias("last_ts")))
 
 
-def window_detector(stats: DataFrame, params, volume_rule: str = "compat", compat_reasons: bool = False,
-                    volume_mean: float | None = None, volume_std: float | None = None) -> DataFrame:
+def window_detector(stats: DataFrame, params, volume_rule: str = "volume", compat_reasons: bool = False) -> DataFrame:
     """I6 rules (B13, B8, B9, B10, B11) on window statistics.
 
     volatility: std_return > 2 * sigma(return); range: max_range > range
-    threshold; volume: avg_volume > mean + 2 * std of volume_change
-    (``compat``, the reference's rule) or of volume itself (``volume``,
-    needs ``volume_mean``/``volume_std``).
+    threshold; volume: avg_volume > mean + 2 * std of ``volume`` (``params`` must
+    have its statistics), or with ``volume_rule="compat"`` of ``volume_change``,
+    which compares a volume with percent. A statistic that is not there flags
+    nothing.
     """
-    if volume_rule == "compat":
-        vol_limit = params.mean("volume_change") + params.std("volume_change") * 2
-    else:
-        vol_limit = volume_mean + 2 * volume_std
+    feature = {"volume": "volume", "compat": "volume_change"}[volume_rule]
+    if feature not in params.stats:
+        raise ValueError(f"the {volume_rule} volume rule needs mean and std of {feature} in the parameters")
+    number = lambda v: F.lit(v).cast("double")
+    vol_limit = number(params.mean(feature)) + number(params.std(feature)) * 2.0
     x = (stats
-         .withColumn("volatility_anomaly", fl.flag_gt("std_return", F.lit(params.std("return")) * 2.0))
+         .withColumn("volatility_anomaly", fl.flag_gt("std_return", number(params.std("return")) * 2.0))
          .withColumn("range_anomaly", fl.flag_gt("max_range", F.lit(params.range_threshold_pct)))
-         .withColumn("volume_anomaly", fl.flag_gt("avg_volume", F.lit(vol_limit))))
+         .withColumn("volume_anomaly", fl.flag_gt("avg_volume", vol_limit)))
     x = (x.withColumn("total_votes", fl.votes([c for _, c in REASONS]))
           .withColumn("is_anomaly", fl.min_votes("total_votes", params.min_votes))
           .withColumn("confidence", fl.confidence("total_votes"))

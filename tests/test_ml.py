@@ -20,7 +20,7 @@ def test_fitted_invariants(spark):
 
 
 def test_consensus_votes_are_sum(spark):
-    c = ml.consensus_pipeline(spark, SF_SMALL)
+    c = ml.consensus_pipeline_fit(spark, SF_SMALL)
     bad = c.filter(F.col("votes") != F.col("anomaly_zscore") + F.col("anomaly_kmeans") + F.col("anomaly_rf")
                    + F.col("anomaly_gmm")).count()
     assert bad == 0

@@ -1,15 +1,14 @@
-"""A sample of registered queries against the DuckDB oracle at sf0.001
-(the full set runs with ``python tests/oracle_compare.py``)."""
+"""Every core query with an oracle against DuckDB at sf0.001 (other sizes:
+``python tests/oracle_compare.py``; the llm queries have tests of their own)."""
 
 import pytest
 
 import __spark_entry__ as entry
+from barwatch.plans.catalog import REGISTRY
 from tests.oracle_compare import compare, duck
 from tests.conftest import SF_SMALL
 
-SAMPLE = ["bars_1h", "feature_table", "zscore_detector", "candle_detector", "describe_stats",
-          "histogram", "classification_metrics", "recent_alerts", "kmeans_detector", "consensus_vote",
-          "fill_forward", "explode_kline_pages", "normalize_kline_events", "window_detector"]
+CORE = sorted(n for n, q in REGISTRY.items() if q.sql)
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +16,7 @@ def con():
     return duck(SF_SMALL)
 
 
-@pytest.mark.parametrize("name", SAMPLE)
+@pytest.mark.parametrize("name", CORE)
 def test_query_matches_oracle(spark, con, name):
     ok, msg = compare(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], SF_SMALL)
     assert ok, msg
