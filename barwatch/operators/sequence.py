@@ -20,13 +20,12 @@ Steps, all DataFrame operations:
 
 from __future__ import annotations
 
-import functools
-import operator
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
+from barwatch.session import materialize
+
 DEFAULT_BLOCK_ROWS = 100_000
 DEFAULT_CHUNK_SECONDS = 7 * 24 * 3600
 HELPER_COLUMNS = ["_chunk", "_lrn", "_off", "_seq", "_blk", "_halo"]
@@ -42,25 +41,29 @@ def _order_number(df: DataFrame, order_col: str, chunk_seconds: int) -> Column:
     return F.floor(c / F.lit(chunk_seconds)).cast("long")
 
 
-def null_safe_join_cond(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return functools.reduce(operator.and_, [left[k].eqNullSafe(right[k]) for k in keys])
+def _not_null(c: str) -> Column:
+    """A text for each value and one for NULL, so that equality on it is NULL-safe."""
+    return F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
 
 
 def with_sequence(df: DataFrame, keys: list[str], order_col: str,
                   chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
-    """Add ``_seq``: 0-based row position per series ordered by ``order_col``."""
+    """Add ``_seq``: 0-based row position per series ordered by ``order_col``.
+
+    ``df`` is read twice and should be a written table. Its rows are shuffled once,
+    for the numbering inside chunks: the chunks' offsets are written, so Spark
+    broadcasts them when they are small, and joins them on the columns that the
+    rows are already partitioned by when they are not."""
     keys = list(keys)
     x = df.withColumn("_chunk", _order_number(df, order_col, chunk_seconds))
-    w_local = Window.partitionBy(*keys, "_chunk").orderBy(order_col)
-    x = x.withColumn("_lrn", F.row_number().over(w_local))
-    counts = x.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
-    w_off = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*[F.col(k).alias(f"_o_{k}") for k in keys], F.col("_chunk").alias("_o_chunk"),
-                            F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"))
-    cond = functools.reduce(operator.and_, [x[k].eqNullSafe(offsets[f"_o_{k}"]) for k in keys]
-                            + [x["_chunk"].eqNullSafe(offsets["_o_chunk"])])
-    x = x.join(offsets, cond, "inner").drop(*[f"_o_{k}" for k in keys], "_o_chunk")
-    return x.withColumn("_seq", (F.col("_off") + F.col("_lrn") - 1).cast("long")).drop("_lrn", "_off")
+    names = [f"_k{i}" for i in range(len(keys) + 1)]
+    x = x.withColumns({n: _not_null(k) for n, k in zip(names, [*keys, "_chunk"])})
+    counts = x.groupBy(*names).agg(F.min("_chunk").alias("_c"), F.count(F.lit(1)).alias("_n"))
+    w_off = Window.partitionBy(*names[:-1]).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = materialize(counts.select(*names, F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off")), "offsets")
+    x = x.withColumn("_lrn", F.row_number().over(Window.partitionBy(*names).orderBy(order_col)))
+    x = x.join(offsets, names)
+    return x.withColumn("_seq", (F.col("_off") + F.col("_lrn") - 1).cast("long")).drop("_lrn", "_off", *names)
 
 
 def blocked(df: DataFrame, keys: list[str], order_col: str, halo: int,

@@ -2,11 +2,13 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from barwatch.operators import features as fe
 from barwatch.operators import sequence
+from barwatch.session import materialize
 
 
 def _bars(spark, n=130, symbols=("a", "b")):
@@ -69,3 +71,27 @@ def test_fill_forward_across_blocks(spark):
     for i in range(60):
         exp = 0.0 if i < 5 else (5.0 if i < 40 else 40.0)
         assert got[dt.datetime(2024, 1, 1) + dt.timedelta(hours=i)] == exp
+
+
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_rows_are_shuffled_twice_at_most(spark, threshold):
+    """Once for the numbering, once for the blocks; the offsets are broadcast, or joined on the numbering's partitions."""
+    rows = [("a" if i % 3 else None, i, float(i)) for i in range(3000)]
+    df = materialize(spark.createDataFrame(rows, "symbol string, t bigint, v double"), "seq-test")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        x, w = sequence.blocked(df, ["symbol"], "t", halo=2, block_rows=100, chunk_seconds=50)
+        out = sequence.unblock(x.withColumn("before", F.lag("v").over(w)), keep_seq=True)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    big = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert len(big) == (2 if threshold == "10m" else 3)              # without broadcast the third one moves the offsets
+    got = sorted(((r.symbol or "", r["_seq"], r.before) for r in out.collect()))
+    want = []
+    for s in ("", "a"):
+        own = [v for k, _, v in rows if (k or "") == s]
+        want += [(s, i, own[i - 1] if i else None) for i in range(len(own))]
+    assert got == sorted(want, key=lambda r: r[:2])
