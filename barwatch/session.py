@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,6 +87,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession):
+    """Jobs in the block leave no shuffle files behind when they end. For one-off
+    writes: a plan that is run twice would have to compute its shuffles again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and
     read it back — a written table that cuts the lineage.
@@ -94,10 +111,12 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     its application, several detectors); without it Spark recomputes the
     whole upstream, including the scan of the raw ticks, per branch. One
     write pass (``DataFrame.checkpoint`` on an unpersisted frame computes it
-    twice), columnar re-reads with pushdown, and it survives executor loss.
+    twice), columnar re-reads with pushdown, and it survives executor loss. The
+    write's shuffle files go with it.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    with freed_shuffles(df.sparkSession):
+        df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
