@@ -37,7 +37,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barwatch.llm.common import arrow_batch_rows
+from barwatch.llm.common import arrow_batch_rows, held, held_type, unheld
 
 CACHE_ENTRIES = 300_000
 BATCH_ROWS = 256
@@ -223,17 +223,17 @@ def bpe_encode(docs: DataFrame, vocabulary: str, text: str = "text", keep: list[
     name = ship(spark, vocabulary)
     new = {"ids", "n_tokens", "decoded"}
     cols = [c for c in (keep if keep is not None else docs.columns) if c.lower() not in new and c != text]
-    src = docs.select(*[F.col(f"`{c}`") for c in cols], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
+    src = docs.select(held(cols), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(SparkFiles.get(name))
         for b in batches:
-            ids = [bpe.encode(t) for t in b.column(len(cols)).to_pylist()]
+            ids = [bpe.encode(t) for t in b.column(1).to_pylist()]
             extra = [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()),
                      pa.array([bpe.decode(x) for x in ids], pa.string())]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], *extra], names=[*cols, "ids", "n_tokens", "decoded"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *extra], names=["held", "ids", "n_tokens", "decoded"])
 
-    return src.mapInArrow(run, (fields + ", " if fields else "") + "ids binary, n_tokens bigint, decoded string")
+    return src.mapInArrow(run, held_type(src) + ", ids binary, n_tokens bigint, decoded string") \
+              .select(*unheld(cols), "ids", "n_tokens", "decoded")
 
 

@@ -49,6 +49,22 @@ def unheld(cols: list[str]) -> list[Column]:
     return [F.col(f"held.c{i}").alias(c) for i, c in enumerate(cols)]
 
 
+def numbered(docs: DataFrame, *named: str) -> tuple[DataFrame, list[str]]:
+    """(the table with its columns under the names c0, c1, ...; the new names of
+    ``named``). For operators that stay in the JVM and add columns beside the
+    caller's: none of theirs is called like that."""
+    at = [c.lower() for c in docs.columns]
+    return (docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]),
+            [f"c{at.index(n.lower())}" for n in named])
+
+
+def renamed(docs: DataFrame, results: dict[str, Column]) -> list[Column]:
+    """The columns of ``docs`` back from :func:`numbered`, then the results; a column named like a result gives way."""
+    taken = {r.lower() for r in results}
+    return [*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns) if c.lower() not in taken],
+            *[c.alias(n) for n, c in results.items()]]
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barwatch.llm.charnum import SCRIPT_NAMES, code_points, ngram_buckets, tables
-from barwatch.llm.common import arrow_batch_rows
+from barwatch.llm.common import arrow_batch_rows, held, held_type, unheld
 from barwatch.llm.textnum import pieces
 
 BITS = 16
@@ -169,21 +169,21 @@ def identify_languages(docs: DataFrame, model: LanguageModel, text: str = "text"
     arrow_batch_rows(docs.sparkSession, 256)
     new = {"lang_pred", "score", "spans"}
     cols = [c for c in (keep if keep is not None else docs.columns) if c.lower() not in new]
-    src = docs.select(*[F.col(f"`{c}`") for c in cols], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in src.schema.fields[:-1])
+    src = docs.select(held(cols), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = list(label_texts(model, b.column(len(cols)).to_pylist()))
+            found = list(label_texts(model, b.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], pa.array([f[0] for f in found], pa.string()),
+                [b.column(0), pa.array([f[0] for f in found], pa.string()),
                  pa.array([f[1] for f in found], pa.float64()),
                  pa.array([[{"start": s, "end": e, "lang": l} for s, e, l in f[2]] for f in found], span)],
-                names=[*cols, "lang_pred", "score", "spans"])
+                names=["held", "lang_pred", "score", "spans"])
 
-    return src.mapInArrow(run, fields + "lang_pred string, score double, "
-                                        "spans array<struct<start: bigint, end: bigint, lang: string>>")
+    return src.mapInArrow(run, held_type(src) + ", lang_pred string, score double, "
+                                                "spans array<struct<start: bigint, end: bigint, lang: string>>") \
+              .select(*unheld(cols), "lang_pred", "score", "spans")
 
 
 def held_out(id_col: Column) -> Column:

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barwatch.llm.common import arrow_batch_rows
+from barwatch.llm.common import arrow_batch_rows, held, held_type, unheld
 
 # Kinds in order, and their patterns (see base_spans).
 KINDS = ["email", "ip", "card", "phone"]
@@ -413,8 +413,10 @@ def learn_pii(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Sk
     arrow_batch_rows(docs.sparkSession, 256)
     ids = docs.select(F.col(f"`{id_col}`").alias("_id")).filter("_id IS NOT NULL").distinct() \
               .orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE)
-    sample = F.broadcast(ids).join(docs.select(F.col(f"`{id_col}`").alias("_k"), F.col(f"`{text}`").alias("t")),
-                                   F.col("_id") == F.col("_k")).select("t").filter("t RLIKE '[0-9@]'")
+    rows = F.broadcast(ids).join(docs.select(F.col(f"`{id_col}`").alias("_k"), F.col(f"`{text}`").alias("t")),
+                                 F.col("_id") == F.col("_k")).filter("t RLIKE '[0-9@]'")
+    # An id may have any number of rows: one stands for them, so the sample is bounded by rows.
+    sample = rows.groupBy("_id").agg(F.min_by("t", F.xxhash64("t")).alias("t")).select("t")
 
     def near_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Only the tokens with a mark matter, so only they and their gaps go to the fit.
@@ -443,25 +445,24 @@ def find_pii(docs: DataFrame, crf: SkipChainCRF, text: str = "text", keep: list[
     counts = [f"n_{k}" for k in KINDS]
     new = [*counts, "base_spans", "pii_spans", "redacted"]
     cols = [c for c in (keep if keep is not None else docs.columns) if c.lower() not in new]
-    src = docs.select(*[F.col(f"`{c}`") for c in cols], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in src.schema.fields[:-1])
+    src = docs.select(held(cols), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
     rows = lambda spans: [[{"kind": k, "start": s, "end": e} for k, s, e in own] for own in spans]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(len(cols)).to_pylist()
+            texts = b.column(1).to_pylist()
             found = all_spans(crf, texts)
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1],
+                [b.column(0),
                  *[pa.array([sum(s[0] == k for s in base) for base, _ in found], pa.int64()) for k in KINDS],
                  pa.array(rows(base for base, _ in found), span), pa.array(rows(every for _, every in found), span),
                  pa.array([redact(t, every) for t, (_, every) in zip(texts, found)], pa.string())],
-                names=[*cols, *new])
+                names=["held", *new])
 
     kind = "array<struct<kind: string, start: bigint, end: bigint>>"
-    return src.mapInArrow(run, fields + ", ".join(f"{c} bigint" for c in counts)
-                          + f", base_spans {kind}, pii_spans {kind}, redacted string")
+    return src.mapInArrow(run, f"{held_type(src)}, " + ", ".join(f"{c} bigint" for c in counts)
+                          + f", base_spans {kind}, pii_spans {kind}, redacted string").select(*unheld(cols), *new)
 
 
 def redact(text: str, spans: list[Span]) -> str:

@@ -33,7 +33,7 @@ import functools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barwatch.llm.common import replace_columns, words_of
+from barwatch.llm.common import numbered, renamed, words_of
 from barwatch.session import materialize
 
 # Fixed values of the base rule.
@@ -165,7 +165,8 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang",
     The distances are NULL where the minimum-length guard or a missing
     reference leaves the document unjudged."""
     refs = references if references is not None else language_references(docs, text, lang)
-    x = with_class_counts(_texts(docs, text, lang), "_t").withColumn("_w", words_of(F.col("_t")))
+    own, (t, g) = numbered(docs, text, lang)
+    x = with_class_counts(_texts(own, t, g), "_t").withColumn("_w", words_of(F.col("_t")))
     x = x.withColumns({"_n": F.size("_w").cast("long"), "_wh": F.transform("_w", lambda v: F.xxhash64(v)),
                        "_lines": F.filter(F.split("_t", "\n"), lambda v: v.rlike("[^\\x20\\x09-\\x0D]"))})
     x = with_repeated_words(x, "_wh", "_n")
@@ -192,12 +193,11 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang",
               | (F.col("_repeat") * 100 > F.col("_n") * BASE_MAX_REPEATED_PERCENT))
     near = (F.coalesce(F.col("_char_distance") <= MAX_CHAR_DISTANCE, F.lit(True))
             & F.coalesce(F.col("_word_distance") <= MAX_WORD_DISTANCE, F.lit(True)))
-    out = replace_columns(
-        x, n_words=F.col("_n"), word_chars=F.length(F.array_join("_w", "")).cast("long"), n_symbols=F.col("_c_symbol"),
+    return x.select(*renamed(docs, dict(
+        n_words=F.col("_n"), word_chars=F.length(F.array_join("_w", "")).cast("long"), n_symbols=F.col("_c_symbol"),
         n_dup_lines=(F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
         n_repeat_words=F.col("_repeat"), base_failed=failed, char_distance=F.col("_char_distance"),
-        word_distance=F.col("_word_distance"), kept=~failed & near & (F.col("_row") >= 0))
-    return out.select(*[c for c in out.columns if c in docs.columns or not c.startswith("_")])
+        word_distance=F.col("_word_distance"), kept=~failed & near & (F.col("_row") >= 0))))
 
 
 def oracle_sql() -> str:

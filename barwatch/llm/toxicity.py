@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barwatch.llm.charnum import code_points, ngram_buckets, tables
-from barwatch.llm.common import arrow_batch_rows, crc_mod
+from barwatch.llm.common import arrow_batch_rows, crc_mod, held, held_type, unheld
 from barwatch.llm.textnum import pieces
 from barwatch.session import materialize
 
@@ -89,9 +89,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     total = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
     stands_for = np.array([max(total.get(y, 0) / SAMPLE, 1.0) for y in (0, 1)])
     few = [known.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(SAMPLE) for y in (0, 1)]
-    sample = materialize(F.broadcast(few[0].union(few[1])).join(
+    rows = F.broadcast(few[0].union(few[1]).distinct()).join(
         docs.select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t")),
-        F.col("id") == F.col("_id")).select("t", "y"), "toxicity-sample")
+        F.col("id") == F.col("_id"))
+    # An id may have any number of rows: one stands for them, so the sample is bounded by rows.
+    sample = materialize(rows.groupBy("id", "y").agg(F.min_by("t", F.xxhash64("t")).alias("t")).select("t", "y"), "toxicity-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, (1 << BITS) + 1), np.int64)     # the last slot counts documents
@@ -170,14 +172,13 @@ def score_toxicity(docs: DataFrame, model: Classifier, text: str = "text", keep:
     """``keep`` columns (default all) with score and predicted."""
     arrow_batch_rows(docs.sparkSession, 256)
     cols = [c for c in (keep if keep is not None else docs.columns) if c.lower() not in {"score", "predicted"}]
-    src = docs.select(*[F.col(f"`{c}`") for c in cols], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("__text"))
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in src.schema.fields[:-1])
+    src = docs.select(held(cols), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            score = model.score(b.column(len(cols)).to_pylist())
+            score = model.score(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], pa.array(score, pa.float64()), pa.array((score >= THRESHOLD).astype(np.int32))],
-                names=[*cols, "score", "predicted"])
+                [b.column(0), pa.array(score, pa.float64()), pa.array((score >= THRESHOLD).astype(np.int32))],
+                names=["held", "score", "predicted"])
 
-    return src.mapInArrow(run, fields + "score double, predicted int")
+    return src.mapInArrow(run, held_type(src) + ", score double, predicted int").select(*unheld(cols), "score", "predicted")

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barwatch.llm.common import replace_columns
+from barwatch.llm.common import numbered, renamed
 from barwatch.llm.components import connected_components
 from barwatch.session import materialize
 
@@ -97,11 +97,12 @@ def url_verdicts(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, ur
                  redirects: DataFrame | None = None) -> DataFrame:
     """The pages with host, path, rule and verdict. ``redirects``: optional table
     of (source, target) urls."""
-    host, path = host_and_path(F.col(f"`{url}`"))
-    x = pages.withColumns({"_host": host, "_path": path})
+    own, (address, markup) = numbered(pages, url, html)
+    host, path = host_and_path(F.col(address))
+    x = own.withColumns({"_host": host, "_path": path})
     x = x.withColumn("_node", F.concat("_host", "_path"))
     named = lambda e: e.select("a", "b", F.struct("h", "p").alias("to"))
-    edges = named(page_links(x, html))
+    edges = named(page_links(x, markup))
     ends = edges.select(F.col("b").alias("node"), F.col("to.h").alias("h"), F.col("to.p").alias("p"))
     if redirects is not None:
         (sh, sp), (th, tp) = host_and_path(F.col("source")), host_and_path(F.col("target"))
@@ -120,8 +121,7 @@ def url_verdicts(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, ur
     x = x.withColumn("_best", best_rule(F.col("_host"), F.col("_path"), rules))
     x = x.join(blocked, F.col("_node") == F.col("_alias"), "left")
     verdict = F.coalesce(F.col("_best.verdict"), F.when(F.col("_alias").isNotNull(), "block").otherwise("allow"))
-    out = replace_columns(x, host=F.col("_host"), path=F.col("_path"), rule=F.col("_best.rule"), verdict=verdict)
-    return out.select(*[c for c in out.columns if c in pages.columns or not c.startswith("_")])
+    return x.select(*renamed(pages, dict(host=F.col("_host"), path=F.col("_path"), rule=F.col("_best.rule"), verdict=verdict)))
 
 
 def _sql_best(host: str, path: str) -> str:

@@ -42,7 +42,7 @@ def test_language_accuracy_spans_and_edges(spark):
     mixed = one["en"][:400] + "\n" + one["de"][:400]
     edge = [(1, mixed), (2, None), (3, ""), (4, "12 #! 3"), (5, one["fr"][:300]), (5, one["fr"][:300]), (6, "привет мир"),
             (7, one["es"] * 40)]
-    out = {r.doc_id: r for r in langid.identify_languages(clashing(documents(spark, edge)), model).collect()}
+    out = {r.doc_id: r for r in langid.identify_languages(clashing(documents(spark, edge), langid), model).collect()}
     assert [s.lang for s in out[1].spans] == ["en", "de"] and abs(out[1].spans[1].start - 401) < 40
     assert [(out[i].lang_pred, out[i].score, out[i].spans) for i in (2, 3, 4)] == [("und", 0.0, [])] * 3
     assert out[5].lang_pred == "fr" and out[7].lang_pred == "es" and out[6].lang_pred in model.languages
@@ -79,7 +79,7 @@ def test_toxicity_on_held_out_rows(spark):
     got = toxicity.score_toxicity(docs.join(known, F.col("doc_id") == F.col("k")), model, keep=["toxic"]).toPandas()
     hit = ((got["predicted"] == 1) & (got["toxic"] == 1)).sum()
     assert hit >= 0.85 * (got["toxic"] == 1).sum() and hit >= 0.8 * (got["predicted"] == 1).sum()
-    edge = toxicity.score_toxicity(clashing(documents(spark, [(1, None), (2, ""), (3, "idiot " * 4000), (3, "idiot " * 4000)])), model)
+    edge = toxicity.score_toxicity(clashing(documents(spark, [(1, None), (2, ""), (3, "idiot " * 4000), (3, "idiot " * 4000)]), toxicity), model)
     got = {r.doc_id: r.score for r in edge.collect()}
     assert got[1] == got[2] and all(0 <= s <= 1 for s in got.values()) and edge.count() == 4
 
@@ -123,7 +123,7 @@ def test_scores_match_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     rows += [(5001, None), (5002, ""), (5003, "The THE the"), (5003, "The THE the")]
     docs = documents(spark, rows)
-    got = lm.lm_scores(clashing(docs))
+    got = lm.lm_scores(clashing(docs, lm, exchange))
     assert got.count() == len(rows)
     got = {r.doc_id: r for r in got.collect()}
     train = [(i, t) for i, t in rows if crc(i, 7) != 2]
@@ -231,7 +231,7 @@ def test_bpe_table(spark, codecs):
     edge = [(8001, None), (8002, ""), (8003, "word " * 20000), (8003, "word " * 20000)]
     both = docs.union(spark.createDataFrame(edge, "doc_id bigint, text string"))
     texts = {r.doc_id: r.text or "" for r in both.collect()}
-    got = bpe.bpe_encode(both.withColumn("ids", F.lit(1)), public_tokenizers.path("byte_bpe_50k.json")).collect()
+    got = bpe.bpe_encode(clashing(both, bpe).withColumn("ids", F.lit(1)), public_tokenizers.path("byte_bpe_50k.json")).collect()
     assert len(got) == len(texts) + 1
     for r in got:
         want = codecs[1].encode(texts[r.doc_id], add_special_tokens=False).ids
@@ -312,7 +312,7 @@ def test_two_tokens_of_a_free_hub_act_as_with_a_link_of_their_own():
 def test_pii_table_and_edges(spark):
     rows = [(1, None), (2, ""), (3, "x " * 9000 + "call +1 (988) 555-2485"), (3, "x " * 9000 + "call +1 (988) 555-2485"), (4, "é a@b.co")]
     crf = pii.learn_pii(documents(spark, rows))
-    got = pii.find_pii(clashing(documents(spark, rows)), crf).collect()
+    got = pii.find_pii(clashing(documents(spark, rows), pii), crf).collect()
     by = {r.doc_id: r for r in got}
     assert len(got) == 5 and by[1].pii_spans == [] and by[1].redacted == "" and by[3].n_phone == 1
     assert [(s.kind, s.start, s.end) for s in by[4].base_spans] == [("email", 2, 8)] and by[4].redacted == "é [email]"

@@ -5,11 +5,11 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from barwatch.llm import url_filter
+from barwatch.llm import quality, url_filter
 from barwatch.llm.components import connected_components
 from barwatch.llm.quality import js_distance, quality_rules
 from barwatch.llm.queries import QUERIES, SQL
-from tests.llm.helpers import SF, base_quality, clashing, documents
+from tests.llm.helpers import SF, base_quality, clashing, documents, unchanged
 from tests.oracle_compare import compare, duck
 
 
@@ -74,6 +74,10 @@ def test_url_filter_empty_and_clashing(spark):
     assert url_filter.url_verdicts(_pages(spark, [])).count() == 0
     got = url_filter.url_verdicts(_pages(spark, [(1, "http://a.net/es/", None)] * 2).withColumn("Host", F.lit(3))).collect()
     assert len(got) == 2 and {r.host for r in got} == {"a.net"} and len(got[0]) == 7
+    mine = clashing(_pages(spark, [(1, "http://a.net/es/", None), (2, None, None)]), url_filter)
+    out = url_filter.url_verdicts(mine).collect()
+    extra = [c for c in mine.columns if c not in ("page_id", "url", "html", "host", "path", "rule", "verdict")]
+    assert len(out) == 2 and all(r[c] == "x " + c for r in out for c in extra) and "_alias" in extra
 
 
 def test_connected_components(spark):
@@ -119,5 +123,6 @@ def test_js_distance(spark):
 
 def test_quality_empty_and_clashing(spark):
     assert quality_rules(documents(spark, [])).count() == 0
-    x = clashing(documents(spark, [(1, "one two " * 40, "en", "s"), (2, None, None, None)]))
-    assert set(quality_rules(x).columns) >= set(x.columns)
+    x = clashing(documents(spark, [(1, "one two " * 40, "en", "s"), (2, None, None, None)]), quality)
+    results = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance", "kept"}
+    assert set(quality_rules(x).columns) == set(x.columns) | results and unchanged(x, quality_rules(x), results)
