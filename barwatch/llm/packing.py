@@ -16,7 +16,8 @@ Defined results: a text longer than the capacity is cut into full pieces (bins o
 their own) and a rest; no token is dropped. Documents without tokens (NULL,
 empty) come out with a NULL pack. NULL is a source like any other; a NULL
 cluster conflicts with nothing. Ties go by row order: longer first, then smaller
-id, then piece. Repeated rows are packed each. An empty table gives an empty
+id, then piece. Without a ``cluster`` column two rows are duplicates when their
+texts are equal; near copies count as different. Repeated rows are packed each. An empty table gives an empty
 table. Other columns are not read.
 """
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barwatch.llm.common import words_of
+from barwatch.llm.common import arrow_batch_rows, words_of
 from barwatch.session import materialize
 
 CAPACITY = 2048
@@ -115,6 +116,7 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
     ``length``: tokens of a row (default: words); ``cluster``: duplicate cluster
     (default: equal texts)."""
+    arrow_batch_rows(docs.sparkSession, 10_000)
     t = F.col(f"`{text}`")
     n = F.size(words_of(t)) if length is None else length
     items = materialize(docs.select(
