@@ -19,9 +19,12 @@ original vectors, and the best k of all lists and blocks win, ties to smaller
 ids.
 
 Centres are fitted on at most ``SAMPLE`` vectors (those first by a hash of the
-id); every vector is indexed. Blocks hold about ``BLOCK_ROWS`` vectors whatever
-the size of their list, so a list with a third of all vectors is many tasks.
-Queries meet the blocks of the ``PROBES`` nearest lists by an equi-join.
+id); every vector is indexed. A list is cut into blocks of at most about
+``BLOCK_ROWS`` vectors and the queries into slabs of about ``SLAB_ROWS``, both by a
+row number, so a list with a third of all vectors, or an id that a third of all
+rows repeat, is many tasks. A task holds one block and one slab, whatever the
+table's size. With V vectors, Q queries and a probed share s, a query is sent to
+s * (lists + V / BLOCK_ROWS) blocks and a vector to 1 + Q / SLAB_ROWS slabs.
 
 Defined results: vectors that are NULL, zero, of another length than the most
 frequent one, or hold a NULL or non-finite component take no part. Repeated
@@ -50,10 +53,14 @@ ROWS_PER_LIST = 200              # lists grow with the table, up to MAX_LISTS
 MAX_LISTS = 4096
 PROBE_SHARE = 0.68               # share of the lists that a query probes: the vectors have little structure
 MIN_PROBES = 8
-BLOCK_ROWS = 400
+BLOCK_ROWS = 20_000              # vectors of a list that a task holds at most, about
+SLAB_ROWS = 20_000               # queries that it holds at most, about
+LEAST_BLOCK_ROWS = 400           # small tables get smaller blocks, so that many tasks share them
+BLOCKS = 128
 FIRST_SHARE = 0.1                # share of a query's lists that are probed first
 BAR_ROWS = 1024                  # rows of the sample that give every query its first k and its bar
-QUERY_ROWS = 256                 # queries that meet a block at once
+QUERY_ROWS = 256                 # queries that meet a block at once, at most
+PAIRS = 1 << 20                  # pairs that are held at once, about
 COLUMNS = 16                     # columns of a column block
 EPSILON = 2.5
 TOLERANCE = 1e-9                 # for rounding in distances
@@ -182,7 +189,8 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame | None = None, id_
     arrow_batch_rows(spark, 4096)
     points = materialize(usable(vectors, id_col, vec), "ann-points")
     asked = points.filter(F.col("id") % QUERY_EVERY == 0) if queries is None else usable(queries, id_col, vec)
-    index, lists, _ = build_index(points)
+    index, lists, total = build_index(points)
+    block_rows = max(LEAST_BLOCK_ROWS, min(BLOCK_ROWS, total // BLOCKS))
     if index is None:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     probes = max(min(lists, MIN_PROBES), int(np.ceil(lists * PROBE_SHARE)))
@@ -205,30 +213,36 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame | None = None, id_
                      pa.array(bar, pa.float64()), pa.array(near.tolist(), pa.list_(pa.int64())),
                      pa.array(score.tolist(), pa.list_(pa.float64()))], names=["id", "v", "l", "bar", "near", "score"])
 
-    listed = materialize(points.mapInArrow(assign, "id bigint, v array<double>, list int"), "ann-lists")
-    sizes = materialize(listed.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks")),
+    number = F.xxhash64(F.monotonically_increasing_id())                   # of a row; written, so it stays
+    listed = materialize(points.mapInArrow(assign, "id bigint, v array<double>, list int").withColumn("number", number), "ann-lists")
+    sizes = materialize(listed.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("blocks")),
                         "ann-sizes")                                       # one row a list: at most MAX_LISTS
-    rows = listed.join(F.broadcast(sizes), "list").select(
-        "list", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), "id", "v")
     asking = materialize(asked.mapInArrow(ask, "id bigint, v array<double>, l array<int>, bar double, "
-                                               "near array<bigint>, score array<double>"), "ann-queries")
+                                               "near array<bigint>, score array<double>").withColumn("number", number), "ann-queries")
+    slabs = max(1, -(-asking.count() // SLAB_ROWS))
+    rows = listed.join(F.broadcast(sizes), "list").select(
+        "list", F.pmod("number", F.col("blocks")).cast("int").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.lit(slabs - 1))).alias("slab"), "id", "v")
     def search(part: pa.Table, asking: pa.Table) -> pa.Table:
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if part.num_rows and asking.num_rows:
             raw, q_raw = _matrix(part["v"]), _matrix(asking["v"])
             x, ids = index.rotate(raw, False), part["id"].to_numpy()
             q, q_ids, bar = index.rotate(q_raw, True), asking["id"].to_numpy(), asking["bar"].to_numpy()
-            for lo in range(0, len(q_ids), QUERY_ROWS):
-                own = slice(lo, lo + QUERY_ROWS)
+            step = max(8, min(QUERY_ROWS, PAIRS // max(len(ids), 1)))
+            for lo in range(0, len(q_ids), step):
+                own = slice(lo, lo + step)
                 found.append(scan(x, ids, raw, q[own], q_ids[own], q_raw[own], bar[own], k))
         join = lambda i, kind: pa.array(np.concatenate([f[i] for f in found]) if found else [], kind)
         return pa.table({"query_id": join(0, pa.int64()), "vec_id": join(1, pa.int64()), "score": join(2, pa.float64())})
 
     def probe(some: DataFrame) -> DataFrame:
         """Best k of each block for the queries of ``some`` (id, v, bar, l) in the lists ``l``."""
-        at = some.select("id", "v", "bar", F.explode("l").alias("list")).join(F.broadcast(sizes), "list") \
-                 .select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "id", "v", "bar")
-        return rows.groupBy("list", "block").cogroup(at.groupBy("list", "block")).applyInArrow(search, _PAIR)
+        at = some.select("id", "v", "bar", F.pmod("number", F.lit(slabs)).cast("int").alias("slab"), F.explode("l").alias("list")) \
+                 .join(F.broadcast(sizes), "list") \
+                 .select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "slab", "id", "v", "bar")
+        keys = ("list", "block", "slab")
+        return rows.groupBy(*keys).cogroup(at.groupBy(*keys)).applyInArrow(search, _PAIR)
 
     def ranked(pairs: DataFrame) -> DataFrame:
         best = pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
@@ -242,7 +256,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame | None = None, id_
     found = materialize(ranked(probe(asking.withColumn("l", F.slice("l", 1, ahead))).union(seeds)), "ann-first")
     kth = found.filter(F.col("rank") == k).select(F.col("query_id").alias("_q"), F.col("score").alias("_s"))
     square = F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c)
-    later = asking.select("id", "v", "bar", F.slice("l", ahead + 1, lists).alias("l")) \
+    later = asking.select("id", "v", "bar", "number", F.slice("l", ahead + 1, lists).alias("l")) \
                   .join(kth, F.col("id") == F.col("_q"), "left") \
                   .withColumn("bar", F.least("bar", square + index.norm ** 2 - 2 * F.col("_s")))
     return ranked(found.select("query_id", "vec_id", "score").union(probe(later))).select("query_id", "rank", "vec_id", "score")

@@ -26,6 +26,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barwatch.session import materialize
+
 CHUNK_BYTES = 4 << 20            # text in a chunk
 GATHER_BYTES = 16 << 20          # text that a task gathers before it writes its chunks' blobs
 ZSTD_LEVEL = 6
@@ -74,10 +76,12 @@ CHUNKS = "chunk int, ids array<bigint>, lengths array<int>, texts binary"
 
 
 def in_chunks(docs: DataFrame, id_col: str, text: str, size: int) -> DataFrame:
-    """Rows dealt into chunks by a hash of the id: each row of the result holds
-    the ids and the compressed texts that one task has for one chunk."""
+    """Rows dealt into chunks by a hash of id, text and partition: each row of the
+    result holds the ids and the compressed texts that one task has for one chunk.
+    Rows without an id, with one id, or alike in all columns spread as well."""
     chunks = max(1, -(-size // CHUNK_BYTES))
-    src = docs.select(F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(chunks)).cast("int").alias("chunk"),
+    dealt = F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text}`"), F.spark_partition_id())
+    src = docs.select(F.pmod(dealt, F.lit(chunks)).cast("int").alias("chunk"),
                       F.col(f"`{id_col}`").cast("long").alias("id"),
                       F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("text"))
 
@@ -108,6 +112,29 @@ def in_chunks(docs: DataFrame, id_col: str, text: str, size: int) -> DataFrame:
     return src.mapInArrow(run, CHUNKS)
 
 
+def chunk_table(docs: DataFrame, id_col: str, text: str, size: int) -> DataFrame:
+    """Written table with one row a chunk: chunk, ids, lengths, texts (compressed blobs).
+    Passes over it need no shuffle; read a row or few at a time, each holds a chunk."""
+    def merge(part: pa.Table) -> pa.Table:
+        joined = lambda c, kind: pa.array([[x for row in part[c].to_pylist() for x in row]], pa.list_(kind))
+        return pa.table({"chunk": part["chunk"].slice(0, 1), "ids": joined("ids", pa.int64()), "lengths": joined("lengths", pa.int32()),
+                         "texts": pa.array([part["texts"].to_pylist()], pa.list_(pa.binary()))})
+
+    dealt = in_chunks(docs, id_col, text, size).groupBy("chunk").applyInArrow(
+        merge, "chunk int, ids array<bigint>, lengths array<int>, texts array<binary>")
+    return materialize(dealt, "chunks")
+
+
+def read_row(lengths: list[int], blobs: list[bytes]) -> list[str]:
+    """Texts of a row of :func:`chunk_table`."""
+    zstd = zstandard.ZstdDecompressor()
+    raw, texts, at = b"".join(zstd.decompress(b) for b in blobs), [], 0
+    for n in lengths:
+        texts.append(raw[at:at + n].decode("utf-8", "replace"))
+        at += n
+    return texts
+
+
 def read_chunk(part: pa.Table) -> tuple[list, list[str]]:
     """Ids and texts of a chunk."""
     zstd = zstandard.ZstdDecompressor()
@@ -145,12 +172,18 @@ def requests(chunk: int, keys: np.ndarray, counts: np.ndarray, ranges: int) -> p
 
 
 def _totals(part: pa.Table, kinds: int) -> tuple[np.ndarray, np.ndarray, list[int], np.ndarray]:
-    keys = [unpack_keys(k) for k in part["keys"].to_pylist()]
-    sizes = [len(k) for k in keys]
+    parts = [unpack_keys(k) for k in part["keys"].to_pylist()]
+    sizes, keys = [len(k) for k in parts], np.concatenate(parts)
+    del parts
+    by = np.argsort(keys)
+    keys = keys[by]
+    new = np.append(True, keys[1:] != keys[:-1])
+    first = np.flatnonzero(new)
+    place = np.empty(len(keys), np.int64)
+    place[by] = np.cumsum(new) - 1
     counts = np.concatenate([unpack_counts(c, kinds) for c in part["counts"].to_pylist()], axis=1)
-    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-    sums = np.stack([np.bincount(place, c, minlength=len(distinct)) for c in counts])
-    return distinct, sums, sizes, place
+    sums = np.stack([np.add.reduceat(c[by], first).astype(np.float64) for c in counts])
+    return keys[first], sums, sizes, place
 
 
 def answer(asked: DataFrame, kinds: int, summary=None) -> DataFrame:

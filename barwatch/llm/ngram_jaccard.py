@@ -15,14 +15,22 @@ every document with the least document id it can reach over links.
    at least one.
 4. Answer-level skipping. In each list one set leads (the same one in most lists
    of a group of similar sets). All sets of the list are compared with it
-   first; a set that links takes over the leader's component, and pairs inside
-   one component are never compared again: their answer is known.
+   first, and what they share with it is kept; a set that links takes over the
+   leader's component, and pairs inside one component are never compared again:
+   their answer is known. For a pair across components the leader's answers and
+   the differences from the leader give bounds: y and z share at most
+   min(|x & y|, |x & z|) + min(|y - x|, |z - x|) and at least
+   |x & y| + |x & z| - |x| shingles. Where these decide, the answer is derived and
+   the two sets are not compared.
 5. Index-level skipping. Lists whose sets are all in one component are skipped
    whole. In the others the sets outside the list's largest component meet the
-   list in blocks of bounded size; a pair is dropped by size, by the position of
-   the shared shingle in both prefixes, and by bounds on the difference of two
-   sets (shingles of frequency one; counts in 64 hash cells), and only then
-   compared exactly.
+   list. Both are cut into blocks by size and position (and by hash, where a block
+   would hold too many); a block knows its least and largest size and the most
+   shingles that follow a position, and a pair of blocks that cannot hold a link
+   is skipped whole. In the blocks that are left a pair is dropped by size, by the
+   position of the shared shingle in both prefixes, and by bounds on the
+   difference of two sets (shingles of frequency one; counts in 64 hash cells),
+   then by derivation, and only then compared exactly.
 
 No pair is lost: the filters are bounds, and a skipped pair lies in a component
 already. Groups of similar sets cost about their size, not its square, and no
@@ -56,6 +64,8 @@ WORDS = 5
 PERCENT = 80                     # link when 100 * intersection >= PERCENT * union
 CELLS = 64
 BLOCK = 512                      # sets of a list that meet in one comparison block
+POSITIONS = 4                    # position steps of a long list's blocks
+SALTS = 16
 
 _HALF = np.uint64(1 << 63)
 
@@ -169,21 +179,23 @@ def _cells(blobs: list[bytes]) -> np.ndarray:
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes that link, by exact intersection; written."""
+    """Pairs (a, b) of classes with ``common``, the size of their intersection, and whether they link; written."""
     one = sets.select(F.col("cls").alias("a"), F.col("members").alias("ma"))
     two = sets.select(F.col("cls").alias("b"), F.col("members").alias("mb"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
-            keep = []
+            common, linked = [], []
             for x, y in zip(t.column(2).to_pylist(), t.column(3).to_pylist()):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = np.sort(np.concatenate([x, y]))
-                keep.append(bool(_linked(int((both[1:] == both[:-1]).sum()), len(x), len(y), percent)))
-            yield t.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+                common.append(int((both[1:] == both[:-1]).sum()))
+                linked.append(_linked(common[-1], len(x), len(y), percent))
+            yield pa.RecordBatch.from_arrays([t.column(0), t.column(1), pa.array(common, pa.int64()), pa.array(linked, pa.bool_())],
+                                             names=["a", "b", "common", "linked"])
 
     joined = pairs.join(one, "a").join(two, "b").select("a", "b", "ma", "mb")
-    return materialize(joined.mapInArrow(run, "a binary, b binary"), "jaccard-links")
+    return materialize(joined.mapInArrow(run, "a binary, b binary, common bigint, linked boolean"), "jaccard-compared")
 
 
 def _leader_pairs(index: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
@@ -205,49 +217,98 @@ def _leader_pairs(index: DataFrame, lists: DataFrame, percent: int) -> DataFrame
     return led.mapInArrow(run, "a binary, b binary").distinct()
 
 
-def _rest_pairs(index: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
-    """(a, b), a < b: pairs of one list in different components, bounds applied."""
+def _blocked(entries: DataFrame, percent: int) -> DataFrame:
+    """Entries (token, cls, n, pos, ...) with their ``block``: a list of up to BLOCK
+    entries is one; a longer one is cut by size (steps within which sizes can
+    link), by position, and by hash where more than BLOCK are alike in both."""
+    size = F.floor(F.ln("n") / F.lit(float(np.log(100 / percent))))
+    place = F.floor(F.col("pos") * F.lit(POSITIONS) / ((F.col("n") * (100 - percent) / 100) + 1))
+    m = entries.groupBy("token").agg(F.count(F.lit(1)).alias("_m"))
+    x = entries.join(m, "token").withColumns({c: F.when(F.col("_m") > BLOCK, e).otherwise(F.lit(0)).cast("long")
+                                              for c, e in (("_size", size), ("_place", place))})
+    parts = x.groupBy("token", "_size", "_place").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_parts"))
+    x = x.join(parts, ["token", "_size", "_place"])
+    block = F.concat_ws(".", "_size", "_place", F.pmod(F.xxhash64("cls"), F.col("_parts")))
+    return x.withColumn("block", block).drop("_m", "_size", "_place", "_parts")
+
+
+def _block_pairs(rows: DataFrame, columns: DataFrame, percent: int) -> DataFrame:
+    """(token, i, j, skipped): every block of rows with every block of columns of its
+    list, and whether their bounds rule out that any pair of them links."""
+    def bounds(x: DataFrame, p: str) -> DataFrame:
+        return x.groupBy(F.col("token").alias(f"{p}_t"), F.col("block").alias(p)).agg(
+            F.min("n").alias(f"{p}_least"), F.max("n").alias(f"{p}_most"), F.max(F.col("n") - F.col("pos")).alias(f"{p}_left"))
+    x = bounds(rows, "i").join(bounds(columns, "j"), F.col("i_t") == F.col("j_t"))
+    sizes = (F.col("i_most") * 100 >= F.col("j_least") * percent) & (F.col("j_most") * 100 >= F.col("i_least") * percent)
+    most = F.least("i_left", "j_left")
+    shared = most * 100 >= (F.col("i_least") + F.col("j_least") - most) * percent
+    return x.select(F.col("i_t").alias("token"), "i", "j", (~(sizes & shared)).alias("skipped"))
+
+
+def _derived(n1, n2, common1, common2, lead: int, percent: int):
+    """(no, yes): pairs whose answer follows from what both share with a leader of
+    ``lead`` shingles; a ``common`` below 0 is not known."""
+    known = (common1 >= 0) & (common2 >= 0)
+    most = np.minimum(common1, common2) + np.minimum(n1 - common1, n2 - common2)
+    least = np.maximum(common1 + common2 - lead, 0)
+    return known & ~_linked(most, n1, n2, percent), known & _linked(least, n1, n2, percent)
+
+
+def _tile(part: dict, percent: int) -> tuple[list, list, list, int]:
+    """Pairs (a, b) of a block of rows and a block of columns that may link, whether
+    they surely do, and how many answers were derived to be no."""
+    is_row, n, own, pos, cls, root, cells, common, lead = (
+        part[c] for c in ("is_row", "n", "own", "pos", "cls", "root", "cells", "common", "lead"))
+    ids = {r: k for k, r in enumerate(dict.fromkeys(root))}
+    comp = np.array([ids[r] for r in root])
+    right = np.flatnonzero(~is_row)
+    a, b, sure, ruled_out = [], [], [], 0
+    for i in np.flatnonzero(is_row):
+        k = right[comp[right] != comp[i]]
+        # Shared shingles from this one on; at the first shared one of a pair the bound holds.
+        most = np.minimum(n[i] - pos[i], n[k] - pos[k])
+        k = k[_linked(most, n[i], n[k], percent)]
+        k = k[_may_link(n[i], n[k], own[i] + own[k], percent)]
+        k = k[_may_link(n[i], n[k], np.abs(cells[k] - cells[i]).sum(axis=1), percent)]
+        no, yes = _derived(n[i], n[k], common[i], common[k], lead, percent)
+        ruled_out += int(no.sum())
+        for j, s in zip(k[~no].tolist(), yes[~no].tolist()):
+            a.append(min(cls[i], cls[j]))
+            b.append(max(cls[i], cls[j]))
+            sure.append(s)
+    return a, b, sure, ruled_out
+
+
+def _rest_pairs(index: DataFrame, lists: DataFrame, star: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
+    """(a, b, sure), a < b: pairs of one list in different components that pass the
+    bounds; ``sure`` if the link is derived already. Written."""
     known = index.join(comps.select(F.col("node").alias("cls"), "root"), "cls", "left") \
                  .withColumn("root", F.coalesce("root", "cls"))
     known = materialize(known, "jaccard-index")
     by_root = known.groupBy("token", "root").agg(F.count(F.lit(1)).alias("k"))
-    lists = by_root.groupBy("token").agg(F.max(F.struct("k", "root")).alias("top"), F.sum("k").alias("m")) \
-                   .filter(F.col("top.k") < F.col("m")) \
-                   .select(F.col("token").alias("_t"), F.col("top.root").alias("top"), "m",
-                           (F.col("m") - F.col("top.k")).alias("others"))
-    x = known.join(lists, F.col("token") == F.col("_t"))
-    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
-    place = lambda k: F.pmod(F.xxhash64("cls"), k).cast("int")
-    x = x.withColumns({"rb": blocks("others"), "cb": blocks("m")})
-    cols = ["token", "cls", "n", "own", "pos", "root", "cells"]
-    rows = x.filter(F.col("root") != F.col("top")).select(
-        *cols, F.lit(True).alias("is_row"), place(F.col("rb")).alias("i"),
-        F.explode(F.sequence(F.lit(0), F.col("cb") - 1)).alias("j"))
-    columns = x.select(*cols, F.lit(False).alias("is_row"), place(F.col("cb")).alias("j"),
-                       F.explode(F.sequence(F.lit(0), F.col("rb") - 1)).alias("i"))
+    mixed = by_root.groupBy("token").agg(F.max(F.struct("k", "root")).alias("top"), F.sum("k").alias("m")) \
+                   .filter(F.col("top.k") < F.col("m")).select(F.col("token").alias("_t"), F.col("top.root").alias("top"))
+    leads = lists.select(F.col("token").alias("_l"), F.col("lead.cls").alias("lead_cls"), F.col("lead.n").alias("lead"))
+    x = known.join(mixed, F.col("token") == F.col("_t")).join(leads, F.col("token") == F.col("_l")).drop("_t", "_l")
+    compared = star.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "common")
+    x = x.join(compared, (F.col("lead_cls") == F.col("_a")) & (F.col("cls") == F.col("_b")), "left")
+    x = x.withColumn("common", F.when(F.col("lead_cls") == F.col("cls"), F.col("n")).otherwise(F.coalesce("common", F.lit(-1))))
+    x = materialize(x.drop("_a", "_b", "lead_cls"), "jaccard-mixed")
+    rows = _blocked(x.filter(F.col("root") != F.col("top")), percent)
+    columns = _blocked(x, percent)
+    tiles = materialize(_block_pairs(rows, columns, percent).filter(~F.col("skipped")).select("token", "i", "j"), "jaccard-tiles")
+    cols = ["token", "cls", "n", "own", "pos", "root", "cells", "common", "lead"]
+    rows = rows.withColumnRenamed("block", "i").join(tiles, ["token", "i"]).select(*cols, F.lit(True).alias("is_row"), "i", "j")
+    columns = columns.withColumnRenamed("block", "j").join(tiles, ["token", "j"]).select(*cols, F.lit(False).alias("is_row"), "i", "j")
 
     def run(part: pa.Table) -> pa.Table:
-        is_row = part["is_row"].to_numpy()
-        n, own, pos = part["n"].to_numpy(), part["own"].to_numpy(), part["pos"].to_numpy()
-        cls, root = part["cls"].to_pylist(), part["root"].to_pylist()
-        ids = {r: k for k, r in enumerate(dict.fromkeys(root))}
-        comp = np.array([ids[r] for r in root])
-        cells = _cells(part["cells"].to_pylist())
-        right = np.flatnonzero(~is_row)
-        a, b = [], []
-        for i in np.flatnonzero(is_row):
-            k = right[comp[right] != comp[i]]
-            # Shared shingles from this one on; at the first shared one of a pair the bound holds.
-            most = 1 + np.minimum(n[i] - pos[i], n[k] - pos[k]) - 1
-            k = k[_linked(most, n[i], n[k], percent)]
-            k = k[_may_link(n[i], n[k], own[i] + own[k], percent)]
-            k = k[_may_link(n[i], n[k], np.abs(cells[k] - cells[i]).sum(axis=1), percent)]
-            for j in k.tolist():
-                a.append(min(cls[i], cls[j]))
-                b.append(max(cls[i], cls[j]))
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
-
-    return rows.unionByName(columns).groupBy("token", "i", "j").applyInArrow(run, "a binary, b binary").distinct()
+        named = {c: part[c].to_numpy() for c in ("is_row", "n", "own", "pos", "common")}
+        named |= {c: part[c].to_pylist() for c in ("cls", "root")}
+        a, b, sure, _ = _tile(named | {"cells": _cells(part["cells"].to_pylist()), "lead": part["lead"][0].as_py()}, percent)
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "sure": pa.array(sure, pa.bool_())})
+
+    met = rows.unionByName(columns).groupBy("token", "i", "j").applyInArrow(run, "a binary, b binary, sure boolean")
+    return materialize(met.groupBy("a", "b").agg(F.max("sure").alias("sure")), "jaccard-rest")
 
 
 def _join(sets: DataFrame, percent: int) -> DataFrame:
@@ -260,8 +321,10 @@ def _join(sets: DataFrame, percent: int) -> DataFrame:
     lists = materialize(lists, "jaccard-lists")
     index = entry.join(lists.select("token"), "token", "left_semi")
     star = _verify(_leader_pairs(entry, lists, percent), sets, percent)
-    comps = materialize(connected_components(star, "a", "b"), "jaccard-star")
-    more = _verify(_rest_pairs(index, comps, percent), sets, percent)
+    comps = materialize(connected_components(star.filter("linked"), "a", "b"), "jaccard-star")
+    rest = _rest_pairs(index, lists, star, comps, percent)
+    more = rest.filter("sure").select("a", "b").union(
+        _verify(rest.filter(~F.col("sure")).select("a", "b"), sets, percent).filter("linked").select("a", "b"))
     # A link of the second step joins two components of the first.
     roots = comps.select("node", "root")
     ends = more.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left") \
@@ -287,7 +350,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     classes = table.filter(F.col("n") > 0).groupBy("cls").agg(F.min("doc_id").alias("first"))
     named = classes.join(comp_of, "cls", "left").select("cls", "first", F.coalesce("comp", "cls").alias("comp"))
     least = named.groupBy("comp").agg(F.min("first").alias("component_id"))
-    named = named.select(F.col("cls").alias("_c"), F.col("comp").alias("_k")).join(least, F.col("_k") == F.col("comp"))
+    # A component may hold a large part of all classes: they meet copies of its one row.
+    least = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    named = named.select(F.col("cls").alias("_c"), F.col("comp").alias("_k"), F.pmod(F.xxhash64("cls"), F.lit(SALTS)).cast("int").alias("_s"))
+    named = named.join(least, (F.col("_k") == F.col("comp")) & (F.col("_s") == F.col("salt")))
     named = materialize(named.select("_c", "component_id"), "jaccard-named")
     return table.select("doc_id", "n", "cls").join(named, (F.col("cls") == F.col("_c")) & (F.col("n") > 0), "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -93,6 +93,12 @@ def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mix64(h)
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values. A plain sort: ``np.unique`` hashes 64-bit integers first, which takes many times as long."""
+    s = np.sort(values)
+    return s[np.append(True, s[1:] != s[:-1])] if len(s) else s
+
+
 def shingle_sets(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
     """Per text the sorted distinct hashes of its ``size``-word shingles; a text
     with fewer words has its whole sequence as one, a text without words none."""
@@ -102,7 +108,7 @@ def shingle_sets(texts: list[str | None], size: int) -> Iterator[np.ndarray]:
         at = 0
         for n in per_text.tolist():
             if n >= size:
-                yield np.unique(win[at:at + n - size + 1])
+                yield distinct(win[at:at + n - size + 1])
             elif n:
                 yield window_hashes(words[at:at + n], n)
             else:

@@ -6,9 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from barwatch.llm import ann, exchange, packing
+from barwatch.llm import ann, exchange, ngram_jaccard, packing
 from barwatch.llm.ngram_jaccard import jaccard_components
 from barwatch.llm.textnum import shingle_sets, word_hashes
+from barwatch.session import materialize
 from tests.llm.helpers import SF, clashing, components, documents, low, shingles, words
 
 
@@ -173,3 +174,104 @@ def test_ranges_cover_all_keys(n):
     keys = np.array([0, 1, 1 << 62, (1 << 63) + 5, (1 << 64) - 1], np.uint64)
     at = exchange.split_ranges(keys, n)
     assert at[0] == 0 and at[-1] == len(keys) and (np.diff(at) >= 0).all() and len(at) == n + 1
+
+
+def _mosaics(n, rnd):
+    """Texts made of some of 20 passages in a fixed order: few rare shingles, long lists, links at all distances."""
+    passages = [" ".join(f"p{k}w{j}" for j in range(12)) for k in range(20)]
+    return [(i, " ".join(passages[k] for k in sorted(rnd.sample(range(20), rnd.randint(9, 16))))) for i in range(n)]
+
+
+def test_blocks_of_long_lists_are_skipped_and_lose_nothing(spark, monkeypatch):
+    rows = _mosaics(400, random.Random(9))
+    monkeypatch.setattr(ngram_jaccard, "BLOCK", 16)
+    seen = []
+    real = ngram_jaccard._block_pairs
+
+    def spy(rows, columns, percent):
+        out = materialize(real(rows, columns, percent), "spied")
+        seen.append({r.skipped: r["count"] for r in out.groupBy("skipped").count().collect()})
+        return out
+    monkeypatch.setattr(ngram_jaccard, "_block_pairs", spy)
+    got = {r.doc_id: r.component_id for r in jaccard_components(documents(spark, rows)).collect()}
+    assert got == components(dict(rows))
+    assert len(set(got.values())) > 20 and seen[0][True] > 100 and seen[0][False] > 100
+
+
+def test_derived_answers_are_right(spark):
+    rnd = random.Random(3)
+    sets = [shingles(t) for _, t in _mosaics(120, rnd)]
+    linked = lambda x, y: 100 * len(x & y) >= 80 * len(x | y)
+    said = {"no": 0, "yes": 0, "open": 0}
+    # Near copies around each leader, so that some pairs surely link without being linked with the leader by much.
+    for lead in sets[:6]:
+        some = sorted(lead)
+        near = [lead - set(rnd.sample(some, k)) for k in range(1, 13)] + [lead | {("x", str(k), str(j)) for j in range(k)} for k in range(1, 13)]
+        sets[60:84] = near
+        n = np.array([len(s) for s in sets])
+        common = np.array([len(s & lead) for s in sets])
+        common[::7] = -1                                          # not compared with the leader
+        for i in range(0, 120, 3):
+            no, yes = ngram_jaccard._derived(n[i], n, common[i], common, len(lead), 80)
+            for j in range(120):
+                assert not (no[j] and linked(sets[i], sets[j])) and not (yes[j] and not linked(sets[i], sets[j]))
+                said["no" if no[j] else "yes" if yes[j] else "open"] += 1
+    assert min(said.values()) > 50
+
+
+def test_a_tile_derives_before_it_compares():
+    rnd = random.Random(4)
+    sets = [shingles(t) for _, t in _mosaics(60, rnd)]
+    lead = sets[0]
+    part = {"is_row": np.array([i % 2 == 0 for i in range(60)]), "n": np.array([len(s) for s in sets]), "own": np.zeros(60, int),
+            "pos": np.zeros(60, int), "cls": [bytes([i]) for i in range(60)], "root": [bytes([i]) for i in range(60)],
+            "cells": np.zeros((60, ngram_jaccard.CELLS), int), "common": np.array([len(s & lead) for s in sets]), "lead": len(lead)}
+    a, b, sure, ruled_out = ngram_jaccard._tile(part, 80)
+    linked = {(min(i, j), max(i, j)) for i in range(0, 60, 2) for j in range(1, 60, 2) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    told = {(x[0], y[0]): s for x, y, s in zip(a, b, sure)}
+    assert linked <= set(told) and ruled_out > 0
+    assert all(p in linked for p, s in told.items() if s)
+    free = ngram_jaccard._tile(part | {"common": np.full(60, -1)}, 80)
+    assert len(free[0]) == len(a) + ruled_out and free[3] == 0 and not any(free[2])
+
+
+def test_rows_without_an_id_or_with_one_id_spread_over_chunks(spark, monkeypatch):
+    monkeypatch.setattr(exchange, "CHUNK_BYTES", 20_000)
+    texts = [" ".join(f"t{i}w{j}" for j in range(60)) for i in range(300)] + ["same words " * 30] * 300
+    docs = spark.createDataFrame([(None if i % 2 else 7, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(16)
+    size = exchange.corpus_size(docs, "text")
+    dealt = exchange.in_chunks(docs, "doc_id", "text", size).select("chunk", F.size("ids").alias("n")).groupBy("chunk").sum("n").collect()
+    assert sum(r["sum(n)"] for r in dealt) == 600 and max(r["sum(n)"] for r in dealt) < 150
+    rows = exchange.chunk_table(docs, "doc_id", "text", size).collect()
+    assert len(rows) == len(dealt) and sorted(t for r in rows for t in exchange.read_row(r.lengths, r.texts)) == sorted(texts)
+    assert sorted(str(i) for r in rows for i in r.ids) == sorted(["None"] * 300 + ["7"] * 300)
+
+
+def test_slabs_and_blocks_give_the_same_neighbours(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(int(i), rng.normal(size=24).tolist(), 0) for i in range(900)] + [(20, rng.normal(size=24).tolist(), 0)] * 300
+    v = _vectors(spark, rows)
+    want = sorted(map(tuple, ann.nearest_neighbours(v).collect()))
+    monkeypatch.setattr(ann, "SLAB_ROWS", 40)
+    monkeypatch.setattr(ann, "LEAST_BLOCK_ROWS", 30)
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 30)
+    assert sorted(map(tuple, ann.nearest_neighbours(v).collect())) == want
+
+
+def test_packing_ships_its_package():
+    import pathlib
+    import subprocess
+    import sys
+    code = """
+import os, sys
+sys.path.insert(0, {root!r})
+from barwatch.session import build_session
+from barwatch.llm.packing import pack_documents
+spark = build_session("local[2]", 2)
+docs = spark.createDataFrame([(1, "a b c", "s"), (2, "d", "t")], "doc_id long, text string, source string")
+print("packed", pack_documents(docs).count())
+"""
+    root = str(pathlib.Path(__file__).resolve().parents[2])
+    env = {k: v for k, v in __import__("os").environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code.format(root=root)], cwd="/", capture_output=True, text=True, timeout=200, env=env)
+    assert "packed 2" in done.stdout, done.stderr[-2000:]
