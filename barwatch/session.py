@@ -81,10 +81,33 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Folders that :func:`scratch_path` names in the block go when it ends, also after
+    an error. Write what is to stay to a path named before the block: a frame that
+    is still to be computed would miss what it reads."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in made:
+            p = hadoop.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 @contextmanager

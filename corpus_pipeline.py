@@ -15,8 +15,9 @@ from barwatch.llm.ngram_jaccard import jaccard_components
 from barwatch.llm.packing import pack_documents
 from barwatch.llm.pii import find_pii, learn_pii
 from barwatch.llm.quality import quality_rules
-from barwatch.session import materialize, table_path
+from barwatch.session import freed_shuffles, materialize, scratch_path, scratch_scope, table_path
 
+ROW = "_pipeline_row"
 LEAST_LANGUAGE_SHARE = 0.5       # a document whose main language holds less of its letters goes
 
 
@@ -33,14 +34,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the least id.
-    Rows that repeat an id count as copies too; rows without an id stay."""
-    ids = materialize(jaccard_components(docs), "pipeline-components").filter("doc_id IS NOT NULL")
-    gone = materialize(ids.filter("doc_id <> component_id").select("doc_id").distinct(), "pipeline-dropped")
-    twice = materialize(ids.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "pipeline-repeated")
-    left = docs.join(gone, "doc_id", "left_anti")
-    once = left.join(twice, "doc_id", "left_anti")
-    return once.unionByName(left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*docs.columns)
+    """One document of each group of near-duplicates: the one with the least id (a row
+    without an id only if no row has one; among rows of one id any). Rows are told
+    apart by a written row number, so different texts under one id all stay."""
+    rows = materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows")
+    found = materialize(jaccard_components(rows, id_col=ROW), "pipeline-components").select(F.col("doc_id").alias(ROW), "component_id")
+    named = found.join(rows.select(ROW, "doc_id"), ROW)
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("first"))
+    gone = materialize(named.join(first, "component_id").filter(F.col(ROW) != F.col(f"first.{ROW}")).select(ROW), "pipeline-dropped")
+    return rows.join(gone, ROW, "left_anti").select(*docs.columns)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,8 +65,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
+    """All stages over documents. What a stage writes for itself goes when its result is written."""
     docs = spark.read.parquet(table_path(sf_dir, "documents"))
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        out = scratch_path(spark, "pipeline-" + name.replace(" ", "-"))
+        with scratch_scope(spark), freed_shuffles(spark):
+            stage(spark, docs, sf_dir).write.parquet(out)
+        docs = spark.read.parquet(out)
     return STAGES[-1][1](spark, docs, sf_dir)

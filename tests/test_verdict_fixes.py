@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from barwatch.operators import report, sequence, stats
-from barwatch.session import checkpoint_root, scratch_path
+from barwatch.session import checkpoint_root, freed_shuffles, materialize, path_exists, scratch_path, scratch_scope
 from barwatch.sources import files as fs
 from barwatch.sources import kline as kl
 from barwatch.sources import params as pm
@@ -146,3 +146,52 @@ def test_statistics_join_leaves_the_big_side_in_place(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_scratch_folders_go_with_their_scope(spark):
+    out = scratch_path(spark, "stays")
+    with pytest.raises(ValueError):
+        with scratch_scope(spark):
+            inner = materialize(spark.range(5), "goes")
+            path = inner.inputFiles()[0].rsplit("/", 1)[0]
+            inner.write.parquet(out)
+            with scratch_scope(spark):
+                nested = scratch_path(spark, "nested")
+                spark.range(1).write.parquet(nested)
+            assert not path_exists(spark, nested) and path_exists(spark, path)
+            raise ValueError
+    assert not path_exists(spark, path) and spark.read.parquet(out).count() == 5
+
+
+def test_one_off_writes_give_the_setting_back(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    with freed_shuffles(spark):
+        assert spark.conf.get(key) == "true"
+    assert spark.conf.get(key) == before
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    assert materialize(df).count() == 7 and materialize(df).count() == 7 and df.count() == 7      # the frame itself stays usable
+
+
+def test_entry_works_without_the_optional_parts(tmp_path):
+    import pathlib
+    import shutil
+    import subprocess
+    import sys
+    root = pathlib.Path(__file__).resolve().parent.parent
+    shutil.copytree(root / "barwatch", tmp_path / "barwatch", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; q = e.queries(); assert 'zscore_detector' in q and not any(n.startswith('op1') for n in q); print(len(q))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120,
+                          env={"PATH": "/usr/bin:/bin", "PYTHONPATH": str(tmp_path)})
+    assert done.returncode == 0 and int(done.stdout) > 90, done.stderr
+
+
+def test_topic_sink_hands_over_keyed_messages(spark, tmp_path):
+    """The topic writer with a file sink in the connector's place."""
+    src, ckpt, out = (scratch_path(spark, n) for n in ("k-src", "k-ckpt", "k-out"))
+    msg = {"symbol": "a", "interval": "1m", "close_time": 1704067259999, "close": 1.5}
+    spark.createDataFrame([(json.dumps(msg),)], "value string").write.text(src)
+    runner.run_until_done(runner.start_kafka_sink(runner.decoded_stream(spark, src), "topic", "nowhere", ckpt, fmt="parquet", path=out))
+    got = spark.read.parquet(out).first()
+    assert got.key == "a" and json.loads(got.value)["close"] == 1.5
