@@ -9,8 +9,11 @@ counts of all training documents.
 
 Counts cover the whole corpus and come through ``exchange``: chunks of documents
 ask for the totals of their n-grams and get them in key order, so no vocabulary
-is broadcast or collected. The per-token totals are written once; the fold's
-rows of that table feed EM, and all its rows are scored from it.
+is broadcast or collected. The two lowest orders are counted in one pass over the
+written chunks and each further one in a pass of its own, which frees its shuffle
+before the next begins. The per-token
+totals are written once; the fold's rows of that table feed EM, and all its rows
+are scored from it.
 
 EM sees the held-out events as a histogram over (bucket, one quantised
 likelihood per order). The least likelihood is 1/N, so the number of steps grows
@@ -36,8 +39,8 @@ from pyspark.sql import functions as F
 
 from barwatch.llm import exchange
 from barwatch.llm.common import arrow_batch_rows
-from barwatch.llm.textnum import _PLACE, mix64, pieces, word_hashes
-from barwatch.session import scratch_path
+from barwatch.llm.textnum import _PLACE, distinct, mix64, pieces, word_hashes
+from barwatch.session import freed_shuffles, scratch_path
 
 ORDER = 2
 HELD_OUT = (7, 2)                # crc32 of the id modulo 7 is 2: never learned from
@@ -80,22 +83,39 @@ def token_keys(texts: list[str], order: int) -> tuple[list[np.ndarray], np.ndarr
     return keys, per_text
 
 
-def _ask(ids: list, texts: list[str], order: int, chunk: int, ranges: int) -> pa.Table:
-    keys, per_text = token_keys(texts, order)
+def _occurrences(distinct_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """How often each of the sorted distinct keys is among ``keys``."""
+    s = np.sort(keys)
+    first = np.flatnonzero(np.append(True, s[1:] != s[:-1])) if len(s) else np.empty(0, np.int64)
+    out = np.zeros(len(distinct_keys), np.int64)
+    out[np.searchsorted(distinct_keys, s[first])] = np.diff(np.append(first, len(s)))
+    return out
+
+
+def passes(order: int) -> list[list[int]]:
+    """Orders that are counted together: the two lowest, then each for itself."""
+    return [[n for n in (1, 2) if n <= order], *[[n] for n in range(3, order + 1)]]
+
+
+def _ask(ids: list, texts: list[str], orders: list[int], chunk: int, ranges: int) -> pa.Table:
+    """The chunk's n-grams of the given orders with their counts in training documents and in the fold."""
+    keys, per_text = token_keys(texts, orders[-1])
+    own = np.concatenate([keys[n - 1] for n in orders])
+    del keys
     rest = _remainder(ids, HELD_OUT[0])
     train, fold = rest != HELD_OUT[1], _remainder(ids, FOLD[0]) == FOLD[1]
-    distinct, place = np.unique(np.concatenate([[START_KEY], *keys]), return_inverse=True)
-    counts = []
-    for rows in (train, train & fold):
-        weight = np.repeat(rows, per_text).astype(np.float64)
-        counts.append(np.bincount(place, np.concatenate([[float(rows.sum())], *[weight] * order]), minlength=len(distinct)))
-    return exchange.requests(chunk, distinct, np.stack(counts), ranges)
+    known = distinct(own)
+    counts = np.stack([_occurrences(known, own[np.tile(np.repeat(rows, per_text), len(orders))]) for rows in (train, train & fold)])
+    if orders[0] == 1:                                             # START_KEY, the least key, stands for the documents
+        known = np.append(START_KEY, known)
+        counts = np.append([[train.sum()], [(train & fold).sum()]], counts, axis=1)
+    return exchange.requests(chunk, known, counts, ranges)
 
 
-def _summary(distinct: np.ndarray, sums: np.ndarray) -> bytes:
+def _summary(keys: np.ndarray, sums: np.ndarray) -> bytes:
     """N, V, N of the fold, training documents, documents of the fold."""
-    one = (distinct & _TAG) == 1
-    start = distinct == START_KEY
+    one = (keys & _TAG) == 1
+    start = keys == START_KEY
     return np.array([sums[0][one].sum(), (sums[0][one] > 0).sum(), sums[1][one].sum(),
                      sums[0][start].sum(), sums[1][start].sum()], np.float64).tobytes()
 
@@ -107,35 +127,57 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", or
     spark = docs.sparkSession
     arrow_batch_rows(spark, 256)
     size = exchange.corpus_size(docs, text)
-    ranges = exchange.ranges_for(order * size // 7)
-    chunked = exchange.in_chunks(docs, id_col, text, size)
+    ranges = exchange.ranges_for(2 * size // 7)
+    chunks = exchange.chunk_table(docs, id_col, text, size)
+    arrow_batch_rows(spark, 1)                              # a row is a chunk
 
-    def ask(part: pa.Table) -> pa.Table:
-        return _ask(*exchange.read_chunk(part), order, part["chunk"][0].as_py(), ranges)
+    def asking(orders: list[int]):
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for chunk, ids, lengths, blobs in zip(*[c.to_pylist() for c in b.columns]):
+                    yield from _ask(ids, exchange.read_row(lengths, blobs), orders, chunk, ranges).to_batches()
+        return ask
 
     def tell(part: pa.Table, replies: pa.Table) -> pa.Table:
         if not part.num_rows:
             return _table([None] * replies.num_rows, [-1] * replies.num_rows, replies["totals"].to_pylist())
-        ids, texts = exchange.read_chunk(part)
+        ids, texts = part["ids"][0].as_py(), exchange.read_row(part["lengths"][0].as_py(), part["texts"][0].as_py())
         keys, per_text = token_keys(texts, order)
-        distinct = np.unique(np.concatenate([[START_KEY], *keys]))
-        totals = exchange.gather(replies, 2)
-        place = [np.searchsorted(distinct, k) for k in keys]
+        kind, rows = replies["n"].to_numpy(), []
+        for orders in passes(order):
+            own = np.concatenate([keys[n - 1] for n in orders])
+            totals = exchange.gather(replies.filter(pa.array(kind == orders[0])), 2)[:, int(orders[0] == 1):]
+            by = np.argsort(own)
+            place = np.empty(len(own), np.int64)
+            place[by] = np.cumsum(np.append(False, own[by][1:] != own[by][:-1]))
+            rows += np.split(totals[:, place], len(orders), axis=1)
+        del keys
         fold = _is_fold(ids)
         blobs, at = [], 0
         for n, folded in zip(per_text.tolist(), fold):
-            rows = [totals[0][p[at:at + n]] for p in place]
+            own = [r[0, at:at + n] for r in rows]
             if folded:
-                rows += [totals[1][p[at:at + n]] for p in place]
-            blobs.append(exchange.planes(np.concatenate(rows)))
+                own += [r[1, at:at + n] for r in rows]
+            blobs.append(exchange.planes(np.concatenate(own)))
             at += n
         return _table(ids, per_text.tolist(), blobs)
 
-    replies = exchange.answer(chunked.groupBy("chunk").applyInArrow(ask, exchange.REQUEST), 2, _summary)
-    out = chunked.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
+    # Each pass writes its replies, and its requests are gone before the next.
+    replies = None
+    for orders in passes(order):
+        asked = chunks.mapInArrow(asking(orders), exchange.REQUEST)
+        path = scratch_path(spark, "lm-totals")
+        with freed_shuffles(spark):
+            exchange.answer(asked, 2, _summary if orders[0] == 1 else None).withColumn("n", F.lit(orders[0])) \
+                    .write.option("compression", "zstd").parquet(path)
+        got = spark.read.parquet(path)
+        replies = got if replies is None else replies.unionByName(got)
+    out = chunks.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
         tell, "doc_id bigint, n_tokens bigint, held_out boolean, fold boolean, counts binary")
     path = scratch_path(spark, "lm-counts")
-    out.write.option("compression", "zstd").parquet(path)
+    with freed_shuffles(spark):
+        out.write.option("compression", "zstd").parquet(path)
+    arrow_batch_rows(spark, 256)
     return spark.read.parquet(path)
 
 
