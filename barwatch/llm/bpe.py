@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from barwatch.llm.common import arrow_batch_rows, held, held_type, unheld
 
 CACHE_ENTRIES = 300_000
+CACHE_CHARS = 64                 # longer pre-tokens are not kept, so the cache is bounded in bytes
 BATCH_ROWS = 256
 
 # Fixed value: the pre-token pattern of byte-level vocabularies.
@@ -177,11 +178,12 @@ class BacktrackingBPE:
                 out.append(np.array([self.special[part]], "<u4").tobytes())
                 continue
             words = self.split(part)
-            new = [w for w in dict.fromkeys(words) if w not in self.cache]
-            if new:
-                for lo in range(0, len(new), 10_000):
-                    self.cache.update(zip(new[lo:lo + 10_000], self.encode_parts(new[lo:lo + 10_000])))
-            out.extend(map(self.cache.__getitem__, words))
+            cache, long = self.cache, {}
+            new = [w for w in dict.fromkeys(words) if w not in cache]
+            for lo in range(0, len(new), 10_000):
+                for w, ids in zip(new[lo:lo + 10_000], self.encode_parts(new[lo:lo + 10_000])):
+                    (cache if len(w) <= CACHE_CHARS else long)[w] = ids
+            out.extend([long[w] if w in long else cache[w] for w in words] if long else map(cache.__getitem__, words))
         return b"".join(out)
 
     def decode(self, packed: bytes) -> str:

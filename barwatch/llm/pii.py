@@ -23,7 +23,8 @@ speak for a token that is not clear by itself.
 
 Defined results: NULL counts as empty: no spans. Positions are code points, ends
 exclusive. Without training material only the base spans come out. Rows are
-independent, so repeated rows get equal spans; an empty table gives an empty
+independent, so repeated rows get equal spans; a row whose messages do not settle
+says so (``settled``); an empty table gives an empty
 table. Long texts are searched whole, in linear time. Result columns replace
 input columns of the same name.
 """
@@ -40,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barwatch.llm.common import arrow_batch_rows, held, held_type, unheld
+from barwatch.llm.textnum import pieces
 
 # Kinds in order, and their patterns (see base_spans).
 KINDS = ["email", "ip", "card", "phone"]
@@ -53,6 +55,7 @@ SAMPLE = 6000
 ADD_FROM = 0.9
 SETTLED, DAMPING = 1e-6, 0.5      # messages that change less have settled
 MOST_ROUNDS = 2000               # for a document whose messages never settle
+GRAPH_CHARS = 1_000_000
 NEVER = -30.0                    # log potential of a kind that a confirmed hub does not have
 SKIP_PRIOR = 3.5                 # skip weights are pulled towards this for equal labels
 TRAIN_ROUNDS, RIDGE, STEP = 300, 1e-3, 0.1
@@ -273,11 +276,15 @@ class SkipChainCRF:
         return out
 
     def marginals(self, g: Graph, label: np.ndarray | None = None) -> np.ndarray:
-        """Loopy sum-product, all documents at once; log messages, damped.
-        ``label``: what the patterns give each node, 0 where they give nothing."""
+        return self.settle(g, label)[0]
+
+    def settle(self, g: Graph, label: np.ndarray | None = None) -> tuple[np.ndarray, set[int]]:
+        """(marginals, documents whose messages were still moving at the end). Loopy
+        sum-product, all documents at once; log messages, damped. ``label``: what
+        the patterns give each node, 0 where they give nothing."""
         unary = self.potentials(g)
         if not g.chain and not g.skip:
-            return _softmax(unary)
+            return _softmax(unary), set()
         nodes, labels = unary.shape
         kinds = _hub_kinds(g, np.zeros(nodes, np.int64) if label is None else label, labels)
         free = ~kinds.any(axis=1)
@@ -308,7 +315,7 @@ class SkipChainCRF:
                 break
         belief = unary.copy()
         np.add.at(belief, dst, msg)
-        return _softmax(belief[:nodes])
+        return _softmax(belief[:nodes]), set(doc[at].tolist())
 
 
 def _half(pair: np.ndarray) -> np.ndarray:
@@ -384,12 +391,22 @@ def fit_crf(texts: list[str]) -> SkipChainCRF:
 
 def all_spans(crf: SkipChainCRF, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
     """(base spans, all spans) of each text."""
+    return [found[:2] for found in find_spans(crf, texts)]
+
+
+def find_spans(crf: SkipChainCRF, texts: list[str]) -> list[tuple[list[Span], list[Span], bool]]:
+    """(base spans, all spans, whether the messages settled) of each text; a graph
+    holds texts of ``GRAPH_CHARS`` characters together, or one longer text."""
+    return [found for lo, hi in pieces(texts, GRAPH_CHARS) for found in _find_spans(crf, texts[lo:hi])]
+
+
+def _find_spans(crf: SkipChainCRF, texts: list[str]) -> list[tuple[list[Span], list[Span], bool]]:
     base = [base_spans(t) for t in texts]
     g = build_graph(texts)
     if not g.owner:
-        return [(b, b) for b in base]
+        return [(b, b, True) for b in base]
     gold = _gold(g, base)
-    p = crf.marginals(g, gold)
+    p, moving = crf.settle(g, gold)
     label = p.argmax(axis=1)
     sure = (label > 0) & (p[np.arange(len(p)), label] >= ADD_FROM) & (gold == 0)
     added: dict[int, list[Span]] = {}
@@ -405,7 +422,7 @@ def all_spans(crf: SkipChainCRF, texts: list[str]) -> list[tuple[list[Span], lis
         else:
             own.append((kind, g.start[n], g.end[n]))
     order = lambda s: (s[1], KINDS.index(s[0]))
-    return [(b, sorted(b + added[i], key=order) if i in added else b) for i, b in enumerate(base)]
+    return [(b, sorted(b + added[i], key=order) if i in added else b, i not in moving) for i, b in enumerate(base)]
 
 
 def learn_pii(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> SkipChainCRF:
@@ -440,10 +457,11 @@ def find_pii(docs: DataFrame, crf: SkipChainCRF, text: str = "text", keep: list[
     """``keep`` columns (default all) with n_email, n_ip, n_card, n_phone (base
     spans), base_spans and pii_spans as arrays of (kind, start, end), and
     ``redacted``: the text with every span replaced by its kind in brackets
-    (overlapping spans as one, named by the first)."""
+    (overlapping spans as one, named by the first), and ``settled``: false if the
+    messages still moved after ``MOST_ROUNDS`` rounds, whose beliefs then count."""
     arrow_batch_rows(docs.sparkSession, 256)
     counts = [f"n_{k}" for k in KINDS]
-    new = [*counts, "base_spans", "pii_spans", "redacted"]
+    new = [*counts, "base_spans", "pii_spans", "redacted", "settled"]
     cols = [c for c in (keep if keep is not None else docs.columns) if c.lower() not in new]
     src = docs.select(held(cols), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
@@ -452,17 +470,18 @@ def find_pii(docs: DataFrame, crf: SkipChainCRF, text: str = "text", keep: list[
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(1).to_pylist()
-            found = all_spans(crf, texts)
+            found = find_spans(crf, texts)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0),
-                 *[pa.array([sum(s[0] == k for s in base) for base, _ in found], pa.int64()) for k in KINDS],
-                 pa.array(rows(base for base, _ in found), span), pa.array(rows(every for _, every in found), span),
-                 pa.array([redact(t, every) for t, (_, every) in zip(texts, found)], pa.string())],
+                 *[pa.array([sum(s[0] == k for s in base) for base, _, _ in found], pa.int64()) for k in KINDS],
+                 pa.array(rows(base for base, _, _ in found), span), pa.array(rows(every for _, every, _ in found), span),
+                 pa.array([redact(t, every) for t, (_, every, _) in zip(texts, found)], pa.string()),
+                 pa.array([settled for _, _, settled in found], pa.bool_())],
                 names=["held", *new])
 
     kind = "array<struct<kind: string, start: bigint, end: bigint>>"
     return src.mapInArrow(run, f"{held_type(src)}, " + ", ".join(f"{c} bigint" for c in counts)
-                          + f", base_spans {kind}, pii_spans {kind}, redacted string").select(*unheld(cols), *new)
+                          + f", base_spans {kind}, pii_spans {kind}, redacted string, settled boolean").select(*unheld(cols), *new)
 
 
 def redact(text: str, spans: list[Span]) -> str:

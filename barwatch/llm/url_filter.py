@@ -143,7 +143,15 @@ WITH RECURSIVE p0 AS (SELECT page_id, html, coalesce({parts('url')}, '') AS rest
 p AS (SELECT page_id, html, {h1} AS host, {p1} AS path FROM p0),
 tags AS (SELECT host, path, regexp_extract(unnest(regexp_extract_all(html, '{q(CANONICAL)}')), '{q(HREF)}', 1) AS t FROM p
          UNION ALL SELECT host, path, regexp_extract(unnest(regexp_extract_all(html, '{q(REFRESH)}')), '{q(REFRESH_URL)}', 1) FROM p),
-full_t AS (SELECT host, path, CASE WHEN starts_with(t, '/') AND NOT starts_with(t, '//') THEN '://' || host || t ELSE t END AS t FROM tags),
+own_t AS (SELECT host, path, t, regexp_extract(t, '^[^?#]*') AS own,
+            CASE WHEN contains(path, '/') THEN regexp_extract(path, '(?s)^.*/') ELSE '/' END AS folder FROM tags),
+part_t AS (SELECT *, string_split(CASE WHEN starts_with(own, '/') THEN own ELSE folder || own END, '/') AS parts FROM own_t),
+kept_t AS (SELECT *, list_reduce(list_transform(parts[2:], lambda p: [p]), lambda acc, s: CASE WHEN s[1] = '.' THEN acc
+             WHEN s[1] = '..' THEN acc[1:len(acc) - 1] ELSE list_concat(acc, s) END, []::VARCHAR[]) AS kept FROM part_t),
+full_t AS (SELECT host, path, CASE WHEN regexp_matches(t, '^([A-Za-z][A-Za-z0-9+.-]*)?://') THEN t WHEN starts_with(t, '//') THEN ':' || t
+             WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') OR own = '' THEN ''
+             ELSE '://' || host || '/' || array_to_string(kept, '/') || CASE WHEN parts[-1] IN ('.', '..') AND len(kept) > 0 THEN '/' ELSE '' END
+             END AS t FROM kept_t),
 r2 AS (SELECT host, path, {parts('t')} AS rest2 FROM full_t),
 e0 AS (SELECT host, path, {h2} AS h, {p2} AS pp FROM r2),
 e AS (SELECT DISTINCT host || path AS a, h || pp AS b FROM e0 WHERE host <> '' AND h <> ''),

@@ -84,6 +84,67 @@ def test_toxicity_on_held_out_rows(spark):
     assert got[1] == got[2] and all(0 <= s <= 1 for s in got.values()) and edge.count() == 4
 
 
+def _plain_buckets(text):
+    """Distinct hash buckets of a text's character n-grams, one character and one integer at a time."""
+    mul = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
+    value = [(ord(c.lower()) if len(c.lower()) == 1 else ord(c)) if c.isalpha() else 0 for c in text + "\n"]
+    out = set()
+    for n in (3, 4, 5):
+        for i in range(len(value) - n + 1):
+            h = (n + sum(value[i + k] * mul[k] for k in range(n))) % 2 ** 64
+            out.add((h ^ h >> 29) * 0xBF58476D1CE4E5B9 % 2 ** 64 >> 44)
+    return out
+
+
+def _plain_fit(rows):
+    """(scores) of rows (text, label or None) by a dense classifier: log-count ratios, choice of features, ridge logistic regression by Adam."""
+    sets = [_plain_buckets(t or "") for t, _ in rows]
+    known = [(s, y) for s, (_, y) in zip(sets, rows) if y is not None]
+    n = [Counter(b for s, y in known if y == k for b in s) for k in (0, 1)]
+    docs = [sum(y == k for _, y in known) for k in (0, 1)]
+    ratio = {b: math.log((n[1][b] + 1) / (docs[1] + 2)) - math.log((n[0][b] + 1) / (docs[0] + 2)) for b in set(n[0]) | set(n[1])
+             if n[0][b] + n[1][b] >= 4}
+    seen = [b for b in ratio if abs(ratio[b]) >= 1.5]
+    chosen = sorted(sorted(seen, key=lambda b: (-abs(ratio[b]) * math.sqrt(n[0][b] + n[1][b]), b))[:1500])
+    x = np.array([[ratio[b] if b in s else 0.0 for b in chosen] for s, _ in known])
+    y = np.array([float(k) for _, k in known])
+    row = np.where(y == 1, 1 + 0.5 * ((1 - y).sum() / y.sum() - 1), 1.0)
+    row /= row.mean()
+    theta = np.append(np.zeros(len(chosen)), math.log(y.sum() / (1 - y).sum()))
+    m = v = np.zeros(len(theta))
+    for t in range(1, 401):
+        error = row * (1 / (1 + np.exp(-np.clip(x @ theta[:-1] + theta[-1], -40, 40))) - y)
+        g = np.append(x.T @ error / len(y) + 1e-3 * theta[:-1], error.mean())
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        theta = theta - 0.05 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+    z = [sum(ratio[b] * w for b, w in zip(chosen, theta) if b in s) + theta[-1] for s in sets]
+    return [1 / (1 + math.exp(-min(max(a, -40), 40))) for a in z]
+
+
+def test_toxicity_equals_a_dense_classifier(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(120)
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    rows = [(r.doc_id, (r.text or "")[:3000]) for r in docs.collect()] + [(7001, None), (7002, "")]
+    label = {i: labels.get(i) if crc(i, 4) != 2 else None for i, _ in rows}
+    assert {0, 1} <= set(label.values())
+    table = documents(spark, rows)
+    model = toxicity.fit_toxicity(table, spark.createDataFrame([(i, labels[i]) for i, _ in rows if i in labels], "doc_id bigint, toxic int"))
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(table, model).collect()}
+    for (i, _), want in zip(rows, _plain_fit([(t, label[i]) for i, t in rows])):
+        assert got[i] == pytest.approx(want, abs=1e-6)
+
+
+def test_samples_are_bounded_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", 5)
+    docs = documents(spark, [(i % 3, f"text {i} bad" * 3) for i in range(600)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(3)], "doc_id bigint, toxic int")
+    seen = []
+    real = toxicity.materialize
+    monkeypatch.setattr(toxicity, "materialize", lambda df, name: seen.append(real(df, name)) or seen[-1])
+    toxicity.fit_toxicity(docs, labels)
+    assert seen[0].count() <= 3
+
+
 def test_toxicity_without_both_labels(spark):
     labels = spark.createDataFrame([(1, 1), (3, None), (5, 0)], "doc_id bigint, toxic int").filter("toxic = 1 OR toxic IS NULL")
     docs = documents(spark, [(1, "a b"), (2, None)])
@@ -319,3 +380,21 @@ def test_pii_table_and_edges(spark):
     empty = pii.learn_pii(documents(spark, []))
     assert pii.find_pii(documents(spark, []), empty).count() == 0
     assert pii.all_spans(empty, ["a@b.co 5"])[0] == ([("email", 0, 6)],) * 2
+
+
+def test_unsettled_messages_are_told(monkeypatch):
+    crf = pii.fit_crf(["mail a.b@c.de or a.b@c.de now +12 345 678 901", "call 5551234 and 5551234 again"] * 10)
+    texts = ["x 5551234 y 5551234 z", "none", "a.b@c.de then a.b"]
+    assert [f[2] for f in pii.find_spans(crf, texts)] == [True] * 3
+    monkeypatch.setattr(pii, "GRAPH_CHARS", 5)                               # a graph for each text
+    assert [f[:2] for f in pii.find_spans(crf, texts)] == pii.all_spans(crf, texts)
+    monkeypatch.setattr(pii, "MOST_ROUNDS", 1)
+    told = [f[2] for f in pii.find_spans(crf, texts)]
+    assert not told[0] and told[1]
+
+
+def test_long_pre_tokens_are_not_kept(codecs):
+    mine, theirs = codecs
+    for t in ("ab" * 5000 + " cd " + "ab" * 5000, "x" * 64 + " " + "x" * 65):
+        assert np.frombuffer(mine.encode(t), "<u4").tolist() == theirs.encode(t, add_special_tokens=False).ids
+    assert max(map(len, mine.cache)) <= bpe.CACHE_CHARS

@@ -2,6 +2,7 @@
 
 import math
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +71,26 @@ def test_link_targets_are_resolved(spark):
         assert got == {i: node for i, (_, _, node) in enumerate(TARGETS) if node}
 
 
+def test_sql_follows_the_same_links(spark, tmp_path):
+    """Pages that reach blocked ones by links of every form, against the query's SQL."""
+    blocked = [(100 + i, f"http://{node.split('/', 1)[0]}/{(node.split('/', 1) + [''])[1]}" if node else "http://x.net/es/", None)
+               for i, (_, _, node) in enumerate(TARGETS)]
+    pages = [(i, u, f'<link rel="canonical" href="{t}">' if i % 2 else f'<meta http-equiv="refresh" content="0; url={t}">')
+             for i, (u, t, _) in enumerate(TARGETS)] + blocked
+    pages += [(300, "http://p.org/a/b", '<link rel="canonical" href="../c">'), (301, "http://p.org/c", '<link rel="canonical" href="//www.b.net/es/2">'),
+              (302, "http://q.org", '<link rel="canonical" href="r">'), (303, "http://q.org/r", '<link rel="canonical" href="http://b.net/fr/">'),
+              (304, "http://s.com/x", '<link rel="canonical" href="http://z.net/fr/">'), (305, None, '<link rel="canonical" href="/x">')]
+    _pages(spark, pages).write.parquet(str(tmp_path / "t" / "pages.parquet"))
+    one = spark.read.parquet(str(tmp_path / "t" / "pages.parquet")).coalesce(1)
+    one.toPandas().to_parquet(str(tmp_path / "flat.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/flat.parquet')")
+    ok, why = compare(spark, con, "op1_url_filter", QUERIES["op1_url_filter"], SQL["op1_url_filter"], str(tmp_path / "t"))
+    assert ok, why
+    got = {r.page_id: r.verdict for r in QUERIES["op1_url_filter"](spark, str(tmp_path / "t")).collect()}
+    assert got[300] == got[301] == got[302] == got[303] == "block" and got[304] == "allow"
+
+
 def test_url_filter_empty_and_clashing(spark):
     assert url_filter.url_verdicts(_pages(spark, [])).count() == 0
     got = url_filter.url_verdicts(_pages(spark, [(1, "http://a.net/es/", None)] * 2).withColumn("Host", F.lit(3))).collect()
