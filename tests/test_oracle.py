@@ -4,6 +4,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from barwatch.plans import batch, ingest, ml, reports, streams
 from barwatch.plans.catalog import REGISTRY
 from tests.oracle_compare import compare, duck
 from tests.conftest import SF_SMALL
@@ -11,6 +12,24 @@ from tests.conftest import SF_SMALL
 CORE = sorted(n for n, q in REGISTRY.items() if q.sql)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def one_feature_table():
+    """The queries share one written feature table, which some thirty of them would build anew."""
+    real, made = batch.features, {}
+
+    def once(spark, sf_dir, interval="1 hour", keep=False):
+        if (sf_dir, interval) not in made:
+            made[sf_dir, interval] = real(spark, sf_dir, interval, keep=True)
+        return made[sf_dir, interval]
+
+    users = [m for m in (batch, ingest, ml, reports, streams) if getattr(m, "features", None) is real]
+    for m in users:
+        m.features = once
+    yield
+    for m in users:
+        m.features = real
+
+
 @pytest.fixture(scope="module")
 def con():
     return duck(SF_SMALL)
