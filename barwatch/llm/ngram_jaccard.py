@@ -223,13 +223,15 @@ def _blocked(entries: DataFrame, percent: int) -> DataFrame:
     link), by position, and by hash where more than BLOCK are alike in both."""
     size = F.floor(F.ln("n") / F.lit(float(np.log(100 / percent))))
     place = F.floor(F.col("pos") * F.lit(POSITIONS) / ((F.col("n") * (100 - percent) / 100) + 1))
-    m = entries.groupBy("token").agg(F.count(F.lit(1)).alias("_m"))
-    x = entries.join(m, "token").withColumns({c: F.when(F.col("_m") > BLOCK, e).otherwise(F.lit(0)).cast("long")
-                                              for c, e in (("_size", size), ("_place", place))})
-    parts = x.groupBy("token", "_size", "_place").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_parts"))
-    x = x.join(parts, ["token", "_size", "_place"])
-    block = F.concat_ws(".", "_size", "_place", F.pmod(F.xxhash64("cls"), F.col("_parts")))
-    return x.withColumn("block", block).drop("_m", "_size", "_place", "_parts")
+    # Only what is long is joined, from a written table: the entries stay where they are while it is small.
+    long = materialize(entries.groupBy("token").count().filter(F.col("count") > BLOCK).select("token", F.lit(True).alias("_long")), "jaccard-long")
+    x = entries.join(long, "token", "left").withColumns({c: F.when(F.col("_long"), e).otherwise(F.lit(0)).cast("long")
+                                                         for c, e in (("_size", size), ("_place", place))})
+    parts = materialize(x.filter("_long").groupBy("token", "_size", "_place").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_parts"))
+                        .filter("_parts > 1"), "jaccard-parts")
+    x = x.join(parts, ["token", "_size", "_place"], "left")
+    block = F.concat_ws(".", "_size", "_place", F.pmod(F.xxhash64("cls"), F.coalesce("_parts", F.lit(1))))
+    return x.withColumn("block", block).drop("_long", "_size", "_place", "_parts")
 
 
 def _block_pairs(rows: DataFrame, columns: DataFrame, percent: int) -> DataFrame:
