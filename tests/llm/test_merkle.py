@@ -82,13 +82,13 @@ def test_query_matches_the_plain_tree(spark, tmp_path):
     assert query(spark, rows, tmp_path) == plain_manifest(rows)
 
 
-@pytest.mark.parametrize("n", [1, 2, 3, 7, 8])
+@pytest.mark.parametrize("n", [1, 7])
 def test_small_trees(spark, tmp_path, n):
     rows = [(i, "t", "en", None, i) for i in range(n)]
     assert query(spark, rows, tmp_path) == plain_manifest(rows)
 
 
-@pytest.mark.parametrize("n", [16, 17, 63, 64, 65, 300])
+@pytest.mark.parametrize("n", [17, 64, 300])
 def test_blocks_of_blocks(spark, n):
     leaves = spark.range(n).select("id", F.lit("g").alias("g"), merkle.row_digest("id").alias("leaf"))
     rows = sorted(merkle.merkle_manifest(leaves, "g", ["id"], "leaf", height=2).collect(), key=lambda r: r.id)
