@@ -75,11 +75,11 @@ def corpus_size(docs: DataFrame, text: str) -> int:
 CHUNKS = "chunk int, ids array<bigint>, lengths array<int>, texts binary"
 
 
-def in_chunks(docs: DataFrame, id_col: str, text: str, size: int) -> DataFrame:
+def in_chunks(docs: DataFrame, id_col: str, text: str, size: int, chunk_bytes: int | None = None) -> DataFrame:
     """Rows dealt into chunks by a hash of id, text and partition: each row of the
     result holds the ids and the compressed texts that one task has for one chunk.
     Rows without an id, with one id, or alike in all columns spread as well."""
-    chunks = max(1, -(-size // CHUNK_BYTES))
+    chunks = max(1, -(-size // (chunk_bytes or CHUNK_BYTES)))
     dealt = F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text}`"), F.spark_partition_id())
     src = docs.select(F.pmod(dealt, F.lit(chunks)).cast("int").alias("chunk"),
                       F.col(f"`{id_col}`").cast("long").alias("id"),
@@ -112,7 +112,7 @@ def in_chunks(docs: DataFrame, id_col: str, text: str, size: int) -> DataFrame:
     return src.mapInArrow(run, CHUNKS)
 
 
-def chunk_table(docs: DataFrame, id_col: str, text: str, size: int) -> DataFrame:
+def chunk_table(docs: DataFrame, id_col: str, text: str, size: int, chunk_bytes: int | None = None) -> DataFrame:
     """Written table with one row a chunk: chunk, ids, lengths, texts (compressed blobs).
     Passes over it need no shuffle; read a row or few at a time, each holds a chunk."""
     def merge(part: pa.Table) -> pa.Table:
@@ -120,7 +120,7 @@ def chunk_table(docs: DataFrame, id_col: str, text: str, size: int) -> DataFrame
         return pa.table({"chunk": part["chunk"].slice(0, 1), "ids": joined("ids", pa.int64()), "lengths": joined("lengths", pa.int32()),
                          "texts": pa.array([part["texts"].to_pylist()], pa.list_(pa.binary()))})
 
-    dealt = in_chunks(docs, id_col, text, size).groupBy("chunk").applyInArrow(
+    dealt = in_chunks(docs, id_col, text, size, chunk_bytes).groupBy("chunk").applyInArrow(
         merge, "chunk int, ids array<bigint>, lengths array<int>, texts array<binary>")
     return materialize(dealt, "chunks")
 
@@ -171,7 +171,7 @@ def requests(chunk: int, keys: np.ndarray, counts: np.ndarray, ranges: int) -> p
         "counts": pa.array([pack_counts(counts[:, lo:hi]) for _, lo, hi in rows], pa.binary())})
 
 
-def _totals(part: pa.Table, kinds: int) -> tuple[np.ndarray, np.ndarray, list[int], np.ndarray]:
+def _totals(part: pa.Table, kinds: int) -> tuple[np.ndarray, np.ndarray, list[int], np.ndarray, np.ndarray]:
     parts = [unpack_keys(k) for k in part["keys"].to_pylist()]
     sizes, keys = [len(k) for k in parts], np.concatenate(parts)
     del parts
@@ -183,15 +183,19 @@ def _totals(part: pa.Table, kinds: int) -> tuple[np.ndarray, np.ndarray, list[in
     place[by] = np.cumsum(new) - 1
     counts = np.concatenate([unpack_counts(c, kinds) for c in part["counts"].to_pylist()], axis=1)
     sums = np.stack([np.add.reduceat(c[by], first).astype(np.float64) for c in counts])
-    return keys[first], sums, sizes, place
+    return keys[first], sums, sizes, place, counts
 
 
-def answer(asked: DataFrame, kinds: int, summary=None) -> DataFrame:
+def answer(asked: DataFrame, kinds: int, summary=None, where_own: bool = False) -> DataFrame:
     """Totals for every request. ``summary(distinct keys, sums)``, if given,
-    returns bytes that go out as one more row of the range, with chunk -1."""
+    returns bytes that go out as one more row of the range, with chunk -1. With
+    ``where_own`` a chunk gets the totals of the kinds after the first only for keys
+    that it counts in that kind itself, else 0, which takes next to no room."""
     def run(part: pa.Table) -> pa.Table:
-        distinct, sums, sizes, place = _totals(part, kinds)
+        distinct, sums, sizes, place, counts = _totals(part, kinds)
         totals = sums[:, place].astype(np.uint64)
+        if where_own:
+            totals[1:][counts[1:] == 0] = 0
         at = np.concatenate([[0], np.cumsum(sizes)])
         chunk, rng = part["chunk"].to_pylist(), part["range"].to_pylist()
         blobs = [pack_counts(totals[:, lo:hi]) for lo, hi in zip(at[:-1], at[1:])]

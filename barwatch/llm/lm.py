@@ -45,6 +45,7 @@ from barwatch.session import freed_shuffles, scratch_path
 ORDER = 2
 HELD_OUT = (7, 2)                # crc32 of the id modulo 7 is 2: never learned from
 FOLD = (7, 3)                    # the deleted fold, on whose counts EM runs
+CHUNK_BYTES = 5 << 19            # text of a chunk: three orders of keys of it are in memory at once
 BUCKETS = 40                     # context frequency 0, then one bucket per power of two
 STEP_BITS = 0.25                 # likelihood quantisation: a quarter of a bit, down to 1/N
 EM_ROUNDS = 60
@@ -128,7 +129,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", or
     arrow_batch_rows(spark, 256)
     size = exchange.corpus_size(docs, text)
     ranges = exchange.ranges_for(2 * size // 7)
-    chunks = exchange.chunk_table(docs, id_col, text, size)
+    chunks = exchange.chunk_table(docs, id_col, text, size, CHUNK_BYTES)
     arrow_batch_rows(spark, 1)                              # a row is a chunk
 
     def asking(orders: list[int]):
@@ -168,7 +169,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", or
         asked = chunks.mapInArrow(asking(orders), exchange.REQUEST)
         path = scratch_path(spark, "lm-totals")
         with freed_shuffles(spark):
-            exchange.answer(asked, 2, _summary if orders[0] == 1 else None).withColumn("n", F.lit(orders[0])) \
+            exchange.answer(asked, 2, _summary if orders[0] == 1 else None, where_own=True).withColumn("n", F.lit(orders[0])) \
                     .write.option("compression", "zstd").parquet(path)
         got = spark.read.parquet(path)
         replies = got if replies is None else replies.unionByName(got)
